@@ -1,6 +1,6 @@
 """Queries and SQL of this subpackage."""
 
-from siftwise.llm import queries_native
+from siftwise.llm import queries_native, queries_similarity, queries_tokens
 
-QUERIES = {**queries_native.QUERIES}
-SQL = {**queries_native.SQL}
+QUERIES = {**queries_native.QUERIES, **queries_similarity.QUERIES, **queries_tokens.QUERIES}
+SQL = {**queries_native.SQL, **queries_similarity.SQL, **queries_tokens.SQL}
