@@ -1,6 +1,7 @@
 """Queries and SQL of this subpackage."""
 
-from siftwise.llm import queries_native, queries_similarity, queries_tokens
+from siftwise.llm import queries_native, queries_similarity, queries_text, queries_tokens
 
-QUERIES = {**queries_native.QUERIES, **queries_similarity.QUERIES, **queries_tokens.QUERIES}
-SQL = {**queries_native.SQL, **queries_similarity.SQL, **queries_tokens.SQL}
+MODULES = (queries_native, queries_similarity, queries_text, queries_tokens)
+QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
+SQL = {name: sql for module in MODULES for name, sql in module.SQL.items()}
