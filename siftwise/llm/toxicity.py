@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -52,10 +51,6 @@ def features_of(word: str) -> tuple[str, ...]:
     return (word, *(f"{word[:n]}*" for n in (4, 5) if len(word) > n))
 
 
-def _counts(words: Iterable[str]) -> Counter:
-    return Counter(f for w in words for f in features_of(w))
-
-
 class Model:
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
@@ -78,58 +73,84 @@ class Model:
         return 0.0 if total <= -500 else 1 / (1 + math.exp(-total))
 
 
-def _sparse(rows: list[Counter], index: dict[str, int], scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    at = [(i, index[f], n) for i, r in enumerate(rows) for f, n in r.items() if f in index and n]
-    row, col, val = (np.array(x) for x in zip(*at, strict=True)) if at else (np.zeros(0, int),) * 3
-    return row.astype(np.int64), col.astype(np.int64), val * scale[col] if len(at) else np.zeros(0)
+class _Numbered:
+    """Features of texts as numbers: texts are let go at once, so memory follows the distinct words and the counts."""
+
+    def __init__(self):
+        self.features: dict[str, int] = {}
+        self.words: dict[str, int] = {}
+        self.of_word: list[tuple[int, ...]] = []
+
+    def counts(self, words: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Feature numbers and how many of the words have each."""
+        found: list[int] = []
+        for w in words:
+            if (k := self.words.get(w)) is None:
+                k = self.words[w] = len(self.of_word)
+                self.of_word.append(tuple(self.features.setdefault(f, len(self.features)) for f in features_of(w)))
+            found.extend(self.of_word[k])
+        number, count = np.unique(np.array(found, np.int32), return_counts=True)
+        return number, count.astype(np.float32)
+
+
+def _sparse(rows: list[tuple[np.ndarray, np.ndarray]], index: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and scaled value of the features that have an index."""
+    row = np.repeat(np.arange(len(rows)), [len(n) for n, _ in rows]) if rows else np.zeros(0, int)
+    number = np.concatenate([n for n, _ in rows]) if rows else np.zeros(0, np.int32)
+    count = np.concatenate([c for _, c in rows]) if rows else np.zeros(0, np.float32)
+    kept = index[number] >= 0
+    col = index[number[kept]]
+    return row[kept], col, count[kept] * scale[col]
 
 
-def fit(texts: list[str | None], toxic: list[int], fairness: float = FAIRNESS) -> Model:
+def fit(texts: Iterable[str | None], toxic: list[int], fairness: float = FAIRNESS) -> Model:
     """A model of labelled texts; fairness is the weight of the counterfactual penalty."""
     y = np.array(toxic, float)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
         return Model({}, math.log(share / (1 - share)) if 0 < share < 1 else (-500.0 if share == 0 else 500.0))
-    distinct = [words_of(t) for t in texts]
-    in_one, in_zero = Counter(), Counter()
-    for w, label in zip(distinct, toxic, strict=True):
-        (in_one if label else in_zero).update({f for x in w for f in features_of(x)})
+    numbered, rows, changes = _Numbered(), [], []
+    for text in texts:
+        words = words_of(text)
+        rows.append(numbered.counts(sorted(words)))
+        if words & SWAP.keys():
+            n, c = numbered.counts(sorted({SWAP.get(x, x) for x in words}))
+            changes.append((np.concatenate((n, rows[-1][0])), np.concatenate((c, -rows[-1][1]))))
+
+    size = len(numbered.features)
     n_one, n_zero = y.sum(), len(y) - y.sum()
-    ratio = {}
-    for f in in_one.keys() | in_zero.keys():
-        a, b = in_one[f], in_zero[f]
-        if a + b >= LEAST_DOCS:
-            a, b = a + 0.5, b + 0.5
-            r = math.log(a / (n_one + 1) / (b / (n_zero + 1)))
-            if abs(r) >= LEAST_Z * math.sqrt(1 / a + 1 / b) or f in SWAP:
-                ratio[f] = r
-    index = {f: i for i, f in enumerate(sorted(ratio))}
-    scale = np.array([ratio[f] for f in sorted(ratio)])
-    row, col, val = _sparse([_counts(w) for w in distinct], index, scale)
-
-    changes = []
-    for w in distinct:
-        if mentioned := w & SWAP.keys():
-            change = _counts({SWAP.get(x, x) for x in w})
-            change.subtract(_counts(w))
-            changes += [change] if mentioned else []
+    one = np.zeros(size)
+    zero = np.zeros(size)
+    for (number, _), label in zip(rows, toxic, strict=True):
+        (one if label else zero)[number] += 1
+    enough = one + zero >= LEAST_DOCS
+    one, zero = one + 0.5, zero + 0.5
+    ratio = np.log(one / (n_one + 1) / (zero / (n_zero + 1)))
+    named = np.array([f in SWAP for f in numbered.features])
+    chosen = np.flatnonzero(enough & (named | (np.abs(ratio) >= LEAST_Z * np.sqrt(1 / one + 1 / zero))))
+    index = np.full(size, -1)
+    index[chosen] = np.arange(len(chosen))
+    scale = ratio[chosen]
+    row, col, val = _sparse(rows, index, scale)
     c_row, c_col, c_val = _sparse(changes, index, scale)
+    del rows
 
-    weight, bias = np.zeros(len(index)), math.log(n_one / n_zero)
-    mean, power, b_mean, b_power = np.zeros(len(index)), np.zeros(len(index)), 0.0, 0.0
+    weight, bias = np.zeros(len(chosen)), math.log(n_one / n_zero)
+    mean, power, b_mean, b_power = np.zeros(len(chosen)), np.zeros(len(chosen)), 0.0, 0.0
     for step in range(1, STEPS + 1):  # Adam on all rows
         z = np.bincount(row, val * weight[col], len(y)) + bias
         error = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - y
-        grad = np.bincount(col, val * error[row], len(index)) / len(y) + RIDGE * weight
+        grad = np.bincount(col, val * error[row], len(chosen)) / len(y) + RIDGE * weight
         if changes:
             moved = np.bincount(c_row, c_val * weight[c_col], len(changes))
-            grad += fairness * np.bincount(c_col, c_val * moved[c_row], len(index)) / len(changes)
+            grad += fairness * np.bincount(c_col, c_val * moved[c_row], len(chosen)) / len(changes)
         mean, power = 0.9 * mean + 0.1 * grad, 0.999 * power + 0.001 * grad**2
         b_mean, b_power = 0.9 * b_mean + 0.1 * error.mean(), 0.999 * b_power + 0.001 * error.mean() ** 2
-        size = 0.1 * math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
-        weight -= size * mean / (np.sqrt(power) + 1e-8)
-        bias -= size * b_mean / (math.sqrt(b_power) + 1e-8)
-    return Model({f: float(weight[i] * scale[i]) for f, i in index.items() if weight[i]}, float(bias))
+        rate = 0.1 * math.sqrt(1 - 0.999**step) / (1 - 0.9**step)
+        weight -= rate * mean / (np.sqrt(power) + 1e-8)
+        bias -= rate * b_mean / (math.sqrt(b_power) + 1e-8)
+    names = list(numbered.features)
+    return Model({names[k]: float(w * s) for k, w, s in zip(chosen, weight, scale, strict=True) if w}, float(bias))
 
 
 def held_out(doc_id):
@@ -149,7 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     # max_rows ids and labels at most are broadcast, so texts are read without a shuffle
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     distinct = rows.mapInArrow(_distinct_words, "doc_id long, label int, words string").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    return fit(distinct.column("words").to_pylist(), distinct.column("label").to_pylist())
+    return fit((w.as_py() for w in distinct.column("words")), distinct.column("label").to_pylist())
 
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
