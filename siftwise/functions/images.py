@@ -7,10 +7,11 @@ import struct
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftwise.functions.scalar import content_hash
 
-INFO = "format string, width int, height int"
+INFO = T.StructType([T.StructField("format", T.StringType()), T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType())])
 JPEG_END, JPEG_SCAN = 0xD9, 0xDA
 #: Start-of-frame markers: C0 ... CF but for tables and reserved ones.
 JPEG_FRAMES = frozenset(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}

@@ -24,6 +24,11 @@ def nullish(value: Column) -> Column:
     return F.when(~F.trim(value).isin(*NULLISH), value)
 
 
+def one_line_base64(data: Column) -> Column:
+    """base64 without the line ends that long values may get."""
+    return F.regexp_replace(F.base64(data), r"[\r\n]", "")
+
+
 def ms_to_iso(ms: Column) -> Column:
     return F.date_format(F.timestamp_millis(ms), ISO)
 

@@ -62,10 +62,10 @@ def dense_ids(rows: DataFrame, order: list[str], name: str = "feat_id", base: in
     count per partition is gathered.
     """
     ranged = (rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    local = ranged.withColumn("_seq", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     counts = local.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
-    return local.join(F.broadcast(before), "_part").withColumn(name, F.col("_at") + F.col("_before") - 1 + base).drop("_part", "_at", "_before")
+    return local.join(F.broadcast(before), "_part").withColumn(name, F.col("_seq") + F.col("_before") - 1 + base).drop("_part", "_seq", "_before")
 
 
 def aligned(table: DataFrame, name: str = "feat_id") -> DataFrame:

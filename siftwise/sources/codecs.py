@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from siftwise.operators.vectors import lists_of, matrix_of
 
@@ -15,7 +16,7 @@ from siftwise.operators.vectors import lists_of, matrix_of
 XVECS = {"fvecs": np.dtype("<f4"), "ivecs": np.dtype("<u4"), "bvecs": np.dtype("u1")}
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def vector_to_base64(v):
     """base64 of little-endian float32."""
     import base64
@@ -23,7 +24,7 @@ def vector_to_base64(v):
     return v.map(lambda x: None if x is None else base64.b64encode(np.asarray(x, "<f4").tobytes()).decode())
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def base64_to_vector(s):
     import base64
 
