@@ -65,6 +65,11 @@ def q04(spark, d):
     return service.decode_b64(sent).select("doc_id", "sha1")
 
 
+@query("q05", "SELECT vec_id AS id, '<li><a href=\"https://s3/' || vec_id || '\">H' || vec_id || '</a></li>' AS row FROM embeddings")
+def q05(spark, d):
+    return items(spark, d).select("id", service.html_row(F.col("url"), F.col("sha1")).alias("row"))
+
+
 @query("q06", "SELECT 0.3::DOUBLE AS threshold, 5 AS sim_limit, 'unknown option other' AS errors UNION ALL SELECT -1.0, 100, 'options are no JSON'")
 def q06(spark, d):
     rows = [service.search_options(t) for t in ('{"near_dup": true, "near_dup_th": 0.3, "sim_limit": 5, "other": 1}', "{")]

@@ -35,14 +35,14 @@ def u02(spark, d):
 
 
 def marked(spark, d):
-    rows = queue.batches(hashes(spark, d), "sha1", 100)
+    rows = queue.batches(hashes(spark, d), "sha1", 20)
     number = F.substring("update_id", 14, 8).cast("int")
     rows = queue.set_marker(rows, "started", number < 3)
     rows = queue.set_marker(rows, "indexed", number < 2)
     return queue.set_marker(rows, "precomp_start", number < 1)
 
 
-LAST = f"SELECT max(update_id) AS update_id FROM ({BATCHES.format(n=100)})"
+LAST = f"SELECT max(update_id) AS update_id FROM ({BATCHES.format(n=20)})"
 
 
 @query("u03", LAST)
@@ -55,7 +55,7 @@ def u04(spark, d):
     return queue.next_precompute_batch(marked(spark, d)).select("update_id")
 
 
-@query("u05", f"SELECT DISTINCT update_id, update_id <= 'index_update_00000002' AS started FROM ({BATCHES.format(n=100)})")
+@query("u05", f"SELECT DISTINCT update_id, update_id <= 'index_update_00000002' AS started FROM ({BATCHES.format(n=20)})")
 def u05(spark, d):
     return marked(spark, d).select("update_id", F.coalesce("started", F.lit(False)).alias("started"))
 

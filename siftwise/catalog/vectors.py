@@ -242,3 +242,14 @@ def v20(spark, d):
 def v22(spark, d):
     sampled = embeddings(spark, d).where(F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), F.lit(100)) < 50)
     return sampled.repartition(s.partition_count(1000, 200)).select("vec_id")
+
+
+@query("v23", "SELECT vec_id, round(greatest(embedding[1]::DOUBLE, 0) + greatest(embedding[2]::DOUBLE, 0) + greatest(embedding[9]::DOUBLE, 0) + greatest(embedding[10]::DOUBLE, 0), 5) AS first FROM embeddings")
+def v23(spark, d):
+    """Layers over vectors read as 8 x 8 images: relu, then a 2 x 2 convolution of ones."""
+    from siftwise.functions import layers
+
+    def net(x):
+        return layers.conv(layers.relu(x.reshape(-1, 8, 8, 1)), np.ones((2, 2, 1, 1)), np.zeros(1), padding="VALID").reshape(len(x), -1)
+
+    return v.map_vectors(embeddings(spark, d), "vec_id", "embedding", net, "y").select("vec_id", F.round(F.col("y")[0], 5).alias("first"))

@@ -61,6 +61,12 @@ def result_documents(queries: DataFrame, found: DataFrame, items: DataFrame, cam
     return joined.select("qid", F.to_json(F.struct(F.col("query_sha1").alias(name("query_sha1")), similar.alias(name("similar_images")))).alias("body"))
 
 
+def html_row(url, label):
+    """One result as a list item of a page, both parts escaped."""
+    escaped = [F.replace(F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit('"'), F.lit("&quot;")) for c in (url, label)]
+    return F.concat(F.lit('<li><a href="'), escaped[0], F.lit('">'), escaped[1], F.lit("</a></li>"))
+
+
 def search_by_hash(hashes: DataFrame, edges: DataFrame, threshold: float = -1.0, limit: int = 100) -> DataFrame:
     """Cached search: (pos, sha1, dst, dist, rank) in query order; an unknown hash has one row of nulls."""
     from pyspark.sql import Window

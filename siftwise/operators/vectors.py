@@ -71,7 +71,8 @@ def covariance(n: int, total: np.ndarray, outer: np.ndarray) -> tuple[np.ndarray
 
 def eigenvalue_allocation(buckets: int, eigenvalues: np.ndarray) -> np.ndarray:
     """Permutation of dimensions into equal buckets whose products of eigenvalues are balanced, the largest first to the smallest product."""
-    size = len(eigenvalues) // buckets
+    buckets = min(buckets, len(eigenvalues))
+    size = -(-len(eigenvalues) // buckets)
     logs = np.log2(np.maximum(np.abs(eigenvalues), 1e-30))
     logs = logs - logs.min() + 1
     members: list[list[int]] = [[] for _ in range(buckets)]
