@@ -5,12 +5,11 @@ log odds differ significantly between the classes, scales each by its log ratio,
 an extra penalty: identity terms of a labelled text are swapped for others of their group, and the squared change of
 the logit is added to the loss, so that a mention of a group does not move the score.
 
-The fit takes MAX_ROWS labelled texts at most (the smallest by a hash of doc_id, whole texts), so the driver holds a
-bounded number of rows; scoring runs over every row, one word at a time through a bounded cache.
+The fit takes MAX_ROWS labelled texts at most (the smallest by a hash of doc_id, whole texts), so the one task that
+fits holds a bounded number of rows and the driver its weights only; scoring runs over every row, one word at a time through a bounded cache.
 
 Defined cases: null and empty texts score the bias; doc_ids with conflicting or null labels are not trained on, nor
-are null doc_ids; repeated labels count once; without labels of both classes every score is the share of label 1 (0.0
-if there are none); score and predicted replace columns of that name, other columns stay; an empty table gives an
+are null doc_ids; repeated labels count once; without labels of both classes every score is that of the one class, or 0.0 without labels; score and predicted replace columns of that name, other columns stay; an empty table gives an
 empty table.
 """
 
@@ -95,20 +94,18 @@ class _Numbered:
 
 def _sparse(rows: list[tuple[np.ndarray, np.ndarray]], index: np.ndarray, scale: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, column and scaled value of the features that have an index."""
-    row = np.repeat(np.arange(len(rows)), [len(n) for n, _ in rows]) if rows else np.zeros(0, int)
-    number = np.concatenate([n for n, _ in rows]) if rows else np.zeros(0, np.int32)
-    count = np.concatenate([c for _, c in rows]) if rows else np.zeros(0, np.float32)
-    kept = index[number] >= 0
-    col = index[number[kept]]
-    return row[kept], col, count[kept] * scale[col]
+    row, col, val = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.float32)]
+    for i, (number, count) in enumerate(rows):
+        at = index[number]
+        kept = at >= 0
+        row.append(np.full(int(kept.sum()), i, np.int32))
+        col.append(at[kept])
+        val.append((count[kept] * scale[at[kept]]).astype(np.float32))
+    return np.concatenate(row), np.concatenate(col), np.concatenate(val)
 
 
 def fit(texts: Iterable[str | None], toxic: list[int], fairness: float = FAIRNESS) -> Model:
     """A model of labelled texts; fairness is the weight of the counterfactual penalty."""
-    y = np.array(toxic, float)
-    if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
-        return Model({}, math.log(share / (1 - share)) if 0 < share < 1 else (-500.0 if share == 0 else 500.0))
     numbered, rows, changes = _Numbered(), [], []
     for text in texts:
         words = words_of(text)
@@ -117,6 +114,9 @@ def fit(texts: Iterable[str | None], toxic: list[int], fairness: float = FAIRNES
             n, c = numbered.counts(sorted({SWAP.get(x, x) for x in words}))
             changes.append((np.concatenate((n, rows[-1][0])), np.concatenate((c, -rows[-1][1]))))
 
+    y = np.array(toxic, float)  # read after the texts, which may fill it
+    if not len(y) or y.min() == y.max():
+        return Model({}, 500.0 if len(y) and y[0] else -500.0)
     size = len(numbered.features)
     n_one, n_zero = y.sum(), len(y) - y.sum()
     one = np.zeros(size)
@@ -128,7 +128,7 @@ def fit(texts: Iterable[str | None], toxic: list[int], fairness: float = FAIRNES
     ratio = np.log(one / (n_one + 1) / (zero / (n_zero + 1)))
     named = np.array([f in SWAP for f in numbered.features])
     chosen = np.flatnonzero(enough & (named | (np.abs(ratio) >= LEAST_Z * np.sqrt(1 / one + 1 / zero))))
-    index = np.full(size, -1)
+    index = np.full(size, -1, np.int32)
     index[chosen] = np.arange(len(chosen))
     scale = ratio[chosen]
     row, col, val = _sparse(rows, index, scale)
@@ -169,8 +169,24 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id", "label")
     # max_rows ids and labels at most are broadcast, so texts are read without a shuffle
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    distinct = rows.mapInArrow(_distinct_words, "doc_id long, label int, words string").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    return fit((w.as_py() for w in distinct.column("words")), distinct.column("label").to_pylist())
+    distinct = rows.mapInArrow(_distinct_words, "doc_id long, label int, words string").groupBy("doc_id").agg(F.min(F.struct("label", "words")).alias("x"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        toxic: list[int] = []
+
+        def texts() -> Iterator[str]:
+            for b in batches:
+                toxic.extend(b.column(0).to_pylist())
+                yield from (w.as_py() for w in b.column(1))
+
+        model = fit(texts(), toxic)
+        weights = list(model.weights.items())
+        yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in weights] + [None], pa.string()), pa.array([w for _, w in weights] + [model.bias], pa.float64())], ["feature", "weight"])
+
+    # one task holds max_rows rows at most; the driver gets the weights
+    weights = distinct.select("doc_id", "x.label", "x.words").coalesce(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("label", "words").mapInArrow(run, "feature string, weight double").toArrow()
+    found = dict(zip(weights.column(0).to_pylist(), weights.column(1).to_pylist(), strict=True))
+    return Model(found, found.pop(None, -500.0))
 
 
 def _distinct_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
