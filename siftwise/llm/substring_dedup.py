@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ from siftwise.llm.blocks import map_groups
 from siftwise.llm.sketches import BASE, BYTE_VALUE, mix
 from siftwise.plans.stages import save_stage
 
-CORE = 64
+CORE = 48
 #: Runs of one core that are ranked by a window; strings of one core that one task compares.
 HOT, GROUP = 20_000, 4_000
 #: Bytes hashed at once.
@@ -128,22 +129,37 @@ def _runs(window: int, core: int):
 def _ranked(runs: DataFrame) -> DataFrame:
     """Runs with a repeated core, `same` (runs of equal whole), `least` (smallest `same` of the core) and `stand_in`."""
     cores = runs.groupBy("core").agg(F.count("*").alias("many")).where("many > 1")
-    joined = runs.join(cores, "core")
+    joined = save_stage(runs.join(cores, "core"), "runs")
     by_whole, by_core = Window.partitionBy("core", "whole", "n"), Window.partitionBy("core")
     few = (
         joined.where(F.col("many") <= HOT)
+        .repartition("core")  # one deal for all three windows
         .withColumn("same", F.count("*").over(by_whole))
         .withColumn("stand_in", F.row_number().over(by_whole.orderBy("start")) == 1)
         .withColumn("least", F.min("same").over(by_core))
     )
     hot = joined.where(F.col("many") > HOT).withColumn("me", F.struct(F.xxhash64(*KEY), "start"))
     wholes = hot.groupBy("core", "whole", "n").agg(F.count("*").alias("same"), F.min("me").alias("one"))
-    least = wholes.groupBy("core").agg(F.min("same").alias("least"))
-    many = hot.join(wholes, ["core", "whole", "n"]).join(least, "core").withColumn("stand_in", F.col("me") == F.col("one"))
+    # a table of its own, so that Spark can split the partitions of a popular whole in the join
+    wholes = save_stage(wholes.join(wholes.groupBy("core").agg(F.min("same").alias("least")), "core"), "wholes")
+    many = hot.join(wholes, ["core", "whole", "n"]).withColumn("stand_in", F.col("me") == F.col("one"))
     columns = [*KEY, "core", "start", "n", "same", "least", "stand_in"]
     return few.select(*columns).unionByName(many.select(*columns))
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes: they are moved and kept so."""
+    press = zstandard.ZstdCompressor(level=3)
+    for b in batches:
+        for k in range(0, len(b), 500):
+            part = b.slice(k, 500)
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array([press.compress((t or "").encode()) for t in part.column(2).to_pylist()], pa.binary())], ["doc_id", "tag", "packed"])
+
+
+def _unpacked(value: pa.Scalar) -> bytes:
+    return zstandard.decompress(value.as_py())
+
+
 def _strings(window: int):
     """The bytes of the runs to be compared, from each text and its list of runs."""
 
@@ -154,7 +170,7 @@ def _strings(window: int):
                 probes = [r for r in batch.column(3)[i].as_py() if r["weight"] > 0]
                 if not probes:
                     continue
-                text = (batch.column(2)[i].as_py() or "").encode()
+                text = _unpacked(batch.column(2)[i])
                 columns = [[batch.column(0)[i].as_py()] * len(probes), [batch.column(1)[i].as_py()] * len(probes)]
                 kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
                 columns += [[r[c] for r in probes] for c in ("core", "start", "weight")] + [[text[r["start"] : r["start"] + r["n"] + window - 1] for r in probes]]
@@ -182,10 +198,14 @@ def _compare(window: int):
         mine = one % share.astype(np.uint64)[row] == part.astype(np.uint64)[row]
         row, place, begin, one = row[mine], place[mine], begin[mine], one[mine]
         two = _Hashes(data, BASE_2).of(begin, begin + window)
-        order = np.lexsort((two, one, group[row]))
-        g, a, b = group[row][order], one[order], two[order]
-        new = np.concatenate(([True], (g[1:] != g[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(g)]
-        number = np.cumsum(new) - 1
+        key = one + group.astype(np.uint64)[row] * BASE_2
+        order = np.argsort(key)
+        new, differs = key[order][1:] != key[order][:-1], two[order][1:] != two[order][:-1]
+        if (differs & ~new).any():  # one hash agrees and the other does not
+            order = np.lexsort((two, key))
+            new, differs = key[order][1:] != key[order][:-1], two[order][1:] != two[order][:-1]
+        g = np.concatenate(([True], new | differs))[: len(order)]
+        number = np.cumsum(g) - 1
         weight = t.column("weight").to_numpy()
         total = np.bincount(number, weights=weight[row][order]) if len(g) else np.zeros(0)
         found = np.zeros(len(row), bool)
@@ -221,7 +241,7 @@ def _cut(window: int):
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for i in range(len(batch)):
-                text = (batch.column(2)[i].as_py() or "").encode()
+                text = _unpacked(batch.column(2)[i])
                 places = [r for r in batch.column(3)[i].as_py() if r["weight"] <= 0] + (batch.column(4)[i].as_py() or [])
                 places += [r for r in batch.column(3)[i].as_py() if r["weight"] == 2]
                 if not places:
@@ -247,9 +267,10 @@ def repeated_spans(docs: DataFrame, window: int = 200, core: int = CORE) -> Data
     runs = texts.where(F.octet_length("text") >= window).mapInArrow(_runs(window, core), RUN)
     # weight 0: repeats as a whole; 2: the same, and stands for it in its core's group; 1: to be compared
     weight = F.when(F.col("same") == 1, 1).when(F.col("stand_in") & (F.col("least") == 1), 2).otherwise(0)
-    by_text = _ranked(runs).groupBy(*KEY).agg(F.collect_list(F.struct("core", "start", "n", weight.alias("weight"))).alias("runs"))
+    by_text = _ranked(runs).groupBy(*KEY).agg(F.collect_list(F.struct(F.when(weight > 0, F.col("core")).alias("core"), "start", "n", weight.alias("weight"))).alias("runs"))
     # equal rows have equal keys: joined once each
-    touched = save_stage(_null_safe(texts, by_text), "touched")
+    packed = texts.where(F.octet_length("text") >= window).mapInArrow(_packed, "doc_id long, tag int, packed binary")
+    touched = save_stage(_null_safe(packed, by_text), "touched")
 
     strings = touched.mapInArrow(_strings(window), "doc_id long, tag int, core long, start int, weight int, bytes binary")
     strings = save_stage(strings, "strings")
