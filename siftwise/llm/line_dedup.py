@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwise.plans.stages import save_stage
+
 #: Characters stripped at both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -46,9 +48,10 @@ def keyed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
 
 def lines_to_drop(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> DataFrame:
     """(doc_id, row, at): sorted positions of the lines that each document loses; row is a hash of its text."""
-    keyed = keyed_lines(docs, min_chars)
-    # counts combine map-side: a line in every document sends one row per task
-    frequent = keyed.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper")).where(F.col("n") >= min_docs)
+    # tables of their own: lines are split once, and Spark can split the partitions of a popular line in the join
+    keyed = save_stage(keyed_lines(docs, min_chars), "lines")
+    counts = keyed.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("doc_id").alias("keeper"))  # combined map-side
+    frequent = save_stage(counts.where(F.col("n") >= min_docs), "frequent")
     return (
         keyed.join(frequent, ["h1", "h2"])
         .where(F.col("doc_id") != F.col("keeper"))
