@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,35 +29,38 @@ def block_pairs(members: DataFrame, group: list[str], salt: Column, n_bytes: Col
     )
 
 
-def map_groups(df: DataFrame, key: list[str], fn: Callable[[list[pa.Table]], Iterator[pa.RecordBatch]], schema: str, max_bytes: int = 4 << 20) -> DataFrame:
-    """fn over lists of whole groups of `key`, rows of a group together, about max_bytes at once.
+def map_groups(df: DataFrame, key: list[str], fn: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]], schema: str, max_bytes: int = 4 << 20) -> DataFrame:
+    """fn over whole groups of `key` (integers without nulls): a table of about max_bytes and the first row of each group in it.
 
     Groups are dealt by a shuffle and a sort on the key; fn gets many small groups at a time, or one larger one.
     """
 
+    def first_rows(t: pa.Table) -> np.ndarray:
+        fresh = np.zeros(len(t), bool)
+        fresh[0] = True
+        for k in key:
+            x = t.column(k).to_numpy()
+            fresh[1:] |= x[1:] != x[:-1]
+        return np.flatnonzero(fresh)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: list[pa.Table] = []
-        held: list[pa.Table] = []
-        last, n_bytes = None, 0
+        held: list[pa.RecordBatch] = []
+        n_bytes = 0
         for batch in batches:
-            keys = list(zip(*[batch.column(k).to_pylist() for k in key], strict=True))
-            start = 0
-            for i in range(1, len(keys) + 1):
-                if i < len(keys) and keys[i] == keys[start]:
+            for k in range(0, len(batch), 1000):
+                held.append(batch.slice(k, 1000))
+                n_bytes += held[-1].nbytes
+                if n_bytes < max_bytes:
                     continue
-                piece = pa.Table.from_batches([batch.slice(start, i - start)])
-                if held and keys[start] != last:
-                    done.append(pa.concat_tables(held))
-                    n_bytes += done[-1].get_total_buffer_size() if len(done[-1]) > 5000 else sum(c.nbytes for c in done[-1].columns)
-                    held = []
-                    if n_bytes >= max_bytes:
-                        yield from fn(done)
-                        done, n_bytes = [], 0
-                held.append(piece)
-                last, start = keys[start], i
+                t = pa.Table.from_batches(held).combine_chunks()
+                starts = first_rows(t)
+                if len(starts) > 1:  # the last group may go on
+                    yield from fn(t.slice(0, starts[-1]).combine_chunks(), starts[:-1])
+                    held = t.slice(starts[-1]).to_batches()
+                    n_bytes = sum(b.nbytes for b in held)
         if held:
-            done.append(pa.concat_tables(held))
-        if done:
-            yield from fn(done)
+            t = pa.Table.from_batches(held).combine_chunks()
+            if len(t):
+                yield from fn(t, first_rows(t))
 
     return df.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)

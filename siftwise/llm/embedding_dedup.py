@@ -16,10 +16,12 @@ the result has vec_id, n_links, component_id, kept whatever else the table has;
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,75 +32,76 @@ from siftwise.plans.stages import save_stage
 
 TABLES, PROJECTIONS, WIDTH, SEED = 32, 10, 1.6, 20240229
 BLOCK_ROWS = 1024
-HASHED = "rep long, label int, weight long, unit binary, tables binary, bucket long, tbl int"
+HASHED = "vid long, label int, tbl int, bucket long"
+
+
+@functools.lru_cache(maxsize=8)
+def _projections(dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Gaussian directions, offsets and hash factors: they follow from the seed and the dimension."""
+    rng = np.random.default_rng([SEED, dim])
+    a, b = rng.standard_normal((dim, TABLES * PROJECTIONS)), rng.uniform(0, WIDTH, TABLES * PROJECTIONS)
+    return a, b, rng.integers(1, 2**62, (TABLES, PROJECTIONS)) * 2 + 1
 
 
 def table_hashes(unit: np.ndarray) -> np.ndarray:
-    """int64[n, TABLES] of unit vectors; the projections follow from the seed and the dimension."""
-    rng = np.random.default_rng([SEED, unit.shape[1]])
-    a = rng.standard_normal((unit.shape[1], TABLES * PROJECTIONS))
-    b = rng.uniform(0, WIDTH, TABLES * PROJECTIONS)
+    """int64[n, TABLES] of unit vectors."""
+    a, b, factors = _projections(unit.shape[1])
     q = np.floor((unit @ a + b) / WIDTH).astype(np.int64).reshape(len(unit), TABLES, PROJECTIONS)
-    factors = rng.integers(1, 2**62, (TABLES, PROJECTIONS)) * 2 + 1
     return (q * factors).sum(axis=2)
 
 
+def _units(vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows and unit vectors (double precision), by length."""
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False)
+    for dim in np.unique(lengths):
+        rows = np.flatnonzero(lengths == dim)
+        v = vectors.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), int(dim))
+        v = v / np.abs(v).max(axis=1, keepdims=True)  # neither overflow nor underflow in the norm
+        yield rows, v / np.sqrt((v * v).sum(axis=1, keepdims=True))
+
+
 def _hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, len(batch), 1024):
             part = batch.slice(start, 1024)
-            vectors = [np.asarray(v, np.float64) for v in part.column("embedding").to_pylist()]
-            reps, labels, weights = (part.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "weight"))
-            for dim in {len(v) for v in vectors}:
-                rows = [i for i, v in enumerate(vectors) if len(v) == dim]
-                v = np.stack([vectors[i] for i in rows])
-                v = v / np.abs(v).max(axis=1, keepdims=True)  # neither overflow nor underflow in the norm
-                unit = v / np.sqrt((v * v).sum(axis=1, keepdims=True))
-                tables = table_hashes(unit)
-                n = len(rows)
-                units, whole = [u.tobytes() for u in unit], [t.tobytes() for t in tables]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.repeat(reps[rows], TABLES), pa.int64()),
-                        pa.array(np.repeat(labels[rows], TABLES), pa.int32()),
-                        pa.array(np.repeat(weights[rows], TABLES), pa.int64()),
-                        pa.array([u for u in units for _ in range(TABLES)], pa.binary()),
-                        pa.array([t for t in whole for _ in range(TABLES)], pa.binary()),
-                        pa.array(tables.reshape(-1)),
-                        pa.array(np.tile(np.arange(TABLES, dtype=np.int32), n)),
-                    ],
-                    ["rep", "label", "weight", "unit", "tables", "bucket", "tbl"],
-                )
+            for rows, unit in _units(part.column("embedding")):
+                repeated = pa.array(np.repeat(rows, TABLES))
+                columns = [part.column("vid").take(repeated), part.column("label").take(repeated), pa.array(np.tile(np.arange(TABLES, dtype=np.int32), len(rows))), pa.array(table_hashes(unit).reshape(-1))]
+                yield pa.RecordBatch.from_arrays(columns, ["vid", "label", "tbl", "bucket"])
 
 
 def _count(min_cosine: float):
-    def run(groups: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        reps, links, hang = [], [], []
-        for g in groups:
-            tbl, i, j = g.column("tbl")[0].as_py(), g.column("_bi")[0].as_py(), g.column("_bj")[0].as_py()
-            lengths = {len(u) for u in g.column("unit").to_pylist()}
-            for length in lengths:
-                rows = [k for k, u in enumerate(g.column("unit").to_pylist()) if len(u) == length] if len(lengths) > 1 else None
-                t = g if rows is None else g.take(rows)
-                unit = np.frombuffer(b"".join(t.column("unit").to_pylist()), np.float64).reshape(len(t), -1)
-                own, ids, weight = (t.column(c).to_numpy() for c in ("_own", "rep", "weight"))
+    def run(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        vids, reps, links, hang = [], [], [], []
+        columns = [t.column(c).to_numpy() for c in ("_own", "vid", "rep", "weight", "tbl")]
+        same = t.column("_bi").to_numpy() == t.column("_bj").to_numpy()
+        group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(t))))
+        for rows, units in _units(t.column("embedding").combine_chunks()):
+            edges = np.flatnonzero(np.concatenate(([True], group[rows][1:] != group[rows][:-1])))
+            for lo, hi in zip(edges, [*edges[1:], len(rows)], strict=True):
+                if hi - lo < 2:
+                    continue
+                unit = units[lo:hi]
                 near = unit @ unit.T >= min_cosine
-                near &= True if i == j else own[:, None] != own[None, :]
+                if near.sum() == hi - lo:
+                    continue  # each with itself only
+                own, vid, ids, weight, tbl = (c[rows[lo:hi]] for c in columns)
+                if not same[rows[lo]]:
+                    near &= own[:, None] != own[None, :]
                 np.fill_diagonal(near, False)
                 some = np.flatnonzero(near.any(axis=1))
-                if not len(some):
-                    continue
-                near, ids, weight = near[np.ix_(some, some)], ids[some], weight[some]
-                hashes = np.frombuffer(b"".join(t.column("tables").take(some).to_pylist()), np.int64).reshape(len(some), -1)
-                for before in range(tbl):
+                near, vid, ids, weight = near[np.ix_(some, some)], vid[some], ids[some], weight[some]
+                hashes = table_hashes(unit[some]) if len(some) else np.zeros((0, TABLES))
+                for before in range(tbl[0]):
                     near &= hashes[:, before][:, None] != hashes[:, before][None, :]
                 count = near @ weight
                 up = dict((b, a) for a, b in _forest(near, np.arange(len(some))))
                 for k in np.flatnonzero(count):
+                    vids.append(vid[k])
                     reps.append(ids[k])
                     links.append(count[k])
                     hang.append(ids[up[k]] if k in up else None)
-        yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(links, pa.int64()), pa.array(hang, pa.int64())], ["rep", "links", "hang"])
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (vids, reps, links, hang)], ["vid", "rep", "links", "hang"])
 
     return run
 
@@ -110,18 +113,20 @@ def near_vectors(vectors: DataFrame, min_cosine: float = 0.98) -> DataFrame:
     good = F.coalesce(F.col("label").isNotNull() & (size > 0) & ~bad & F.exists("embedding", lambda x: x != 0), F.lit(False))
     rows = vectors.select("vec_id", "label", "embedding", good.alias("good"))
     usable = rows.where("good and vec_id is not null")
-    reps = save_stage(usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight")), "vectors")
+    merged = usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("weight"))
+    reps = save_stage(merged.withColumn("vid", F.monotonically_increasing_id()), "vectors")
 
-    # keys first, so that a bucket of one vector never ships it
-    hashed = reps.select("rep", "label", "weight", "embedding").mapInArrow(_hash, HASHED)
+    # only keys are moved to find buckets of more than one vector; vectors follow to those
     key = ["label", "tbl", "bucket"]
-    paired = block_pairs(hashed, key, F.xxhash64("rep"), F.length("unit"), BLOCK_ROWS, 1 << 30)
-    found = save_stage(map_groups(paired, [*key, "_bi", "_bj"], _count(min_cosine), "rep long, links long, hang long"), "links")
+    hashed = reps.select("vid", "label", "embedding").mapInArrow(_hash, HASHED)
+    paired = block_pairs(hashed, key, F.xxhash64("vid"), F.lit(1), BLOCK_ROWS, 1 << 30)
+    paired = paired.join(reps.select("vid", "rep", "weight", "embedding"), "vid")
+    found = save_stage(map_groups(paired, [*key, "_bi", "_bj"], _count(min_cosine), "vid long, rep long, links long, hang long"), "links")
 
     classes = connected_components(found.where("hang is not null").select(F.col("rep").alias("a"), F.col("hang").alias("b")))
-    counts = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    counts = found.groupBy("vid").agg(F.sum("links").alias("links"))
     known = (
-        reps.join(counts, "rep", "left")
+        reps.join(counts, "vid", "left")
         .join(classes.withColumnRenamed("id", "rep"), "rep", "left")
         .select("label", "embedding", (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     )

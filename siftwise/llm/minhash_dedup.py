@@ -35,8 +35,8 @@ from siftwise.plans.stages import save_stage
 
 REGISTERS, ROWS, SHINGLE = 256, 8, 5
 SLACK = 0.16
-#: Bytes of text hashed at once; rows and bytes of a block.
-CHUNK, BLOCK_ROWS, BLOCK_BYTES = 1 << 20, 512, 4 << 20
+#: Bytes and rows of text hashed at once; rows and bytes of a block.
+CHUNK, CHUNK_ROWS, BLOCK_ROWS, BLOCK_BYTES = 1 << 20, 1000, 512, 4 << 20
 SKETCHED = "doc_id long, n_shingles long, set_a long, set_b long, n_bytes long, bands array<long>"
 
 
@@ -44,7 +44,7 @@ def _chunks(texts: list[str | None]) -> Iterator[slice]:
     start, total = 0, 0
     for i, t in enumerate(texts):
         total += len(t or "")
-        if total >= CHUNK:
+        if total >= CHUNK or i + 1 - start >= CHUNK_ROWS:
             yield slice(start, i + 1)
             start, total = i + 1, 0
     if start < len(texts):
@@ -119,19 +119,17 @@ def _verify(percent: int, sketch: SetSketch):
         out[a[sure], b[sure]] = True
         return out | out.T
 
-    def run(groups: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        texts = [t for g in groups for t in g.column("text").to_pylist()]
+    def run(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        texts = table.column("text").to_pylist()
         parts = [shingle_sets(texts[p], SHINGLE) for p in _chunks(texts)]
         counts = np.concatenate([c for _, c in parts])
         each = [s for sets, c in parts for s in np.split(sets, np.cumsum(c)[:-1])]
-        left, right, done = [], [], 0
-        for g in groups:
-            n = len(g)
-            sets, sizes = each[done : done + n], counts[done : done + n]
-            done += n
-            ids = g.column("rep").to_numpy()
-            own, i, j = g.column("_own").to_numpy(), g.column("_bi")[0].as_py(), g.column("_bj")[0].as_py()
-            cross = np.ones((n, n), bool) if i == j else own[:, None] != own[None, :]
+        left, right = [], []
+        reps, owns, same = table.column("rep").to_numpy(), table.column("_own").to_numpy(), table.column("_bi").to_numpy() == table.column("_bj").to_numpy()
+        for start, stop in zip(starts, [*starts[1:], len(table)], strict=True):
+            n = stop - start
+            sets, sizes, ids, own = each[start:stop], counts[start:stop], reps[start:stop], owns[start:stop]
+            cross = np.ones((n, n), bool) if same[start] else own[:, None] != own[None, :]
             cross &= (sizes > 0)[:, None] & (sizes > 0)[None, :]
             if n > 4:
                 pairs = likely(sketch.registers(np.concatenate(sets), sizes), sizes, cross)

@@ -128,7 +128,8 @@ def _runs(window: int, core: int):
 
 def _ranked(runs: DataFrame) -> DataFrame:
     """Runs with a repeated core, `same` (runs of equal whole), `least` (smallest `same` of the core) and `stand_in`."""
-    cores = runs.groupBy("core").agg(F.count("*").alias("many")).where("many > 1")
+    # a table of its own, so that Spark can split the partitions of a popular core in the join
+    cores = save_stage(runs.groupBy("core").agg(F.count("*").alias("many")).where("many > 1"), "cores")
     joined = save_stage(runs.join(cores, "core"), "runs")
     by_whole, by_core = Window.partitionBy("core", "whole", "n"), Window.partitionBy("core")
     few = (
@@ -180,13 +181,11 @@ def _strings(window: int):
 
 
 def _compare(window: int):
-    """Stretches of repeated windows in lists of groups of runs with one core."""
+    """Stretches of repeated windows in groups of runs with one core."""
 
-    def run(groups: list[pa.Table]) -> Iterator[pa.RecordBatch]:
-        t = pa.concat_tables(groups)
-        group = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
-        share = np.repeat([g.column("of")[0].as_py() for g in groups], [len(g) for g in groups])
-        part = np.repeat([g.column("part")[0].as_py() for g in groups], [len(g) for g in groups])
+    def run(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(t))))
+        share, part = t.column("of").to_numpy(), t.column("part").to_numpy()
         strings = t.column("bytes").to_pylist()
         lengths = np.array([len(s) for s in strings])
         n = lengths - window + 1
