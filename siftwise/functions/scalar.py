@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import math
 
 from pyspark.sql import Column
@@ -14,6 +15,12 @@ MAX_TS = 9999999999999
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
+def bound(value) -> Column:
+    """Literal to compare a column with. A datetime has no zone: compared with either kind of timestamp column it is the
+    literal that is converted, so the scan still takes the filter."""
+    return F.lit(value).cast("timestamp_ntz") if isinstance(value, datetime.datetime) else F.lit(value)
+
+
 def content_hash(data: Column) -> Column:
     """Upper-case hex SHA-1 of bytes or text."""
     return F.upper(F.sha1(data))

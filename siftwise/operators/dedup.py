@@ -27,7 +27,8 @@ def merge_by_hash(df: DataFrame, cap: int = CAP, key: str = "sha1", ident: str =
     counts = pairs.groupBy(key).agg(F.count(ident).alias("n_ids"), F.min("url").alias("url"), F.max("marked").alias("marked"))
     over = (F.col("n_ids") > cap) | F.col("marked").isNotNull()
     kept = counts.where(~over).select(key)
-    lists = pairs.join(kept, key, "left_semi").where(F.col(ident).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_list(ident)).alias("ids"))
+    # no filter on null ids (lists leave them out): both uses of `pairs` stay one exchange
+    lists = pairs.join(kept, key, "left_semi").groupBy(key).agg(F.array_sort(F.collect_list(ident)).alias("ids"))
     empty = F.array().cast(f"array<{df.schema[ident].dataType.simpleString()}>")
     return counts.join(lists, key, "left").select(
         key, "url", F.when(over, empty).otherwise(F.coalesce("ids", empty)).alias("ids"), "n_ids", F.when(over, F.coalesce("marked", F.lit(DISCARDED))).alias("discarded")

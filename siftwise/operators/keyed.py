@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siftwise.operators.dedup import CAP, DISCARDED, one_or_fail, union_sets
 from siftwise.operators.normalize import valid_url
+from siftwise.plans.stages import broadcast_if_small, save_stage
 
 
 def upsert_merge(incoming: DataFrame, existing: DataFrame, cap: int = CAP, key: str = "sha1") -> DataFrame:
@@ -59,10 +60,10 @@ def dense_ids(rows: DataFrame, order: list[str], name: str = "feat_id", base: in
     """rows with ids base, base + 1, ... in the given order, without a single-task window.
 
     Rows are range-partitioned; each partition is numbered by itself and moved by the rows before it: only one
-    count per partition is gathered.
+    count per partition is gathered. The numbered rows are a stage table, as ranges may fall otherwise if made again.
     """
     ranged = (rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_seq", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    local = save_stage(ranged.withColumn("_seq", F.row_number().over(Window.partitionBy("_part").orderBy(*order))), "numbered")
     counts = local.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     return local.join(F.broadcast(before), "_part").withColumn(name, F.col("_seq") + F.col("_before") - 1 + base).drop("_part", "_seq", "_before")
@@ -83,8 +84,6 @@ def unique_and_mapping(rows: DataFrame, known: DataFrame, key: str = "sha1", ide
 
 def lookup(table: DataFrame, keys: DataFrame, key: str, max_broadcast: int = 200_000) -> DataFrame:
     """Rows of the asked keys; the keys are broadcast when counted to be few."""
-    from siftwise.plans.stages import broadcast_if_small
-
     return table.join(broadcast_if_small(keys.select(key).distinct(), max_broadcast), key, "left_semi")
 
 

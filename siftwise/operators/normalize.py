@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftwise.functions.scalar import nullish
+from siftwise.functions.scalar import bound, nullish
 
 STORED = "https://s3"
 
@@ -21,9 +21,9 @@ def in_range(ts: Column, start=None, end=None) -> Column:
     """start <= ts < end; an open end is None. Literals only, so that the scan takes the filter."""
     out = F.lit(True)
     if start is not None:
-        out = out & (ts >= F.lit(start))
+        out = out & (ts >= bound(start))
     if end is not None:
-        out = out & (ts < F.lit(end))
+        out = out & (ts < bound(end))
     return out
 
 

@@ -21,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only where that setting is missing (tests, local runs) a temporary folder is made.
     """
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
     set_before = spark.sparkContext.getCheckpointDir()

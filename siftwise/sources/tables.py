@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siftwise.functions.scalar import bound
+from siftwise.operators.keyed import lookup
+
 
 def scan(spark: SparkSession, path: str, columns: list[str], match: Column | None = None, order: list | None = None) -> DataFrame:
     df = spark.read.parquet(path)
@@ -15,8 +18,8 @@ def scan(spark: SparkSession, path: str, columns: list[str], match: Column | Non
 
 def key_range(df: DataFrame, key: str, start=None, stop=None, columns: list[str] | None = None) -> DataFrame:
     """Rows with start <= key < stop."""
-    out = df.where(F.col(key) >= F.lit(start)) if start is not None else df
-    out = out.where(F.col(key) < F.lit(stop)) if stop is not None else out
+    out = df.where(F.col(key) >= bound(start)) if start is not None else df
+    out = out.where(F.col(key) < bound(stop)) if stop is not None else out
     return out.select(*columns) if columns else out
 
 
@@ -28,12 +31,12 @@ def put_cells(table: DataFrame, puts: DataFrame) -> DataFrame:
 
 def time_batch(df: DataFrame, ts: str, start, n: int, tie: str) -> DataFrame:
     """The first n rows from start on, oldest first."""
-    return df.where(F.col(ts) >= F.lit(start)).orderBy(ts, tie).limit(n)
+    return df.where(F.col(ts) >= bound(start)).orderBy(ts, tie).limit(n)
 
 
 def keyset_batch(df: DataFrame, key: str, start, n: int, required: str | None = None) -> DataFrame:
     """The n rows after a key."""
-    out = df.where(F.col(key) > F.lit(start))
+    out = df.where(F.col(key) > bound(start))
     out = out.where(F.col(required).isNotNull()) if required else out
     return out.orderBy(key).limit(n)
 
@@ -53,13 +56,11 @@ def copy_table(df: DataFrame, columns: list[str], required: list[str]) -> DataFr
 
 
 def subsample(df: DataFrame, key: str, start, n: int) -> DataFrame:
-    return df.where(F.col(key) >= F.lit(start)).orderBy(key).limit(n)
+    return df.where(F.col(key) >= bound(start)).orderBy(key).limit(n)
 
 
 def points(df: DataFrame, ids: DataFrame, key: str, max_broadcast: int = 200_000) -> DataFrame:
     """Rows of a set of ids."""
-    from siftwise.operators.keyed import lookup
-
     return lookup(df, ids, key, max_broadcast)
 
 
