@@ -58,9 +58,9 @@ def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 ids = []
                 for text in rows.column(3).to_pylist():
                     own = bpe.encode(text)
-                    if bpe.decode(own) != (text or ""):
+                    if bpe.decode(own.tolist()) != (text or ""):
                         raise ValueError("a decoded text differs")
-                    ids.append(np.array(own, np.int32))
+                    ids.append(own.astype(np.int32))
                 counts = np.array([len(x) for x in ids], np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(counts), lists], ["doc_id", "lang", "source", "n_tokens", "ids"])

@@ -13,16 +13,19 @@ from __future__ import annotations
 
 import json
 import math
+from array import array
 from collections.abc import Iterable
 
 import ahocorasick
+import numpy as np
 import regex
 
 #: How the library splits text before merging.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: Outside these blocks Unicode versions may class characters otherwise; the library itself splits such texts.
 ELSEWHERE = regex.compile(r"[^\x00-ԯḀ-ỿ‐-⁤₠-₿]")
-PIECES_KEPT, PAIRS_KEPT = 250_000, 400_000
+#: Pieces in each of the two generations of a cache, letters of a piece that is kept, pairs of tokens.
+PIECES_KEPT, LETTERS_KEPT, PAIRS_KEPT = 150_000, 64, 300_000
 
 
 def byte_letters() -> list[str]:
@@ -62,9 +65,41 @@ class Splitter:
         return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
 
-class PrefixBPE:
+class _Cached:
+    """Ids of texts from the ids of their pieces. Pieces are kept as bytes of 32-bit ids, in two generations: what is not
+    asked for while one fills up is let go."""
+
     def __init__(self, path: str):
         self.split = Splitter(path)
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def fresh(self, pieces: list[str]) -> Iterable[bytes]:
+        raise NotImplementedError
+
+    def encode(self, text: str | None) -> np.ndarray:
+        pieces, young = self.split(text or ""), self.young
+        try:
+            return np.frombuffer(b"".join([young[p] for p in pieces]), np.uint32)
+        except KeyError:
+            pass
+        if len(young) >= PIECES_KEPT:
+            self.old, self.young = young, {}
+            young = self.young
+        missing = {p for p in pieces if p not in young}
+        young.update((p, self.old[p]) for p in missing & self.old.keys())
+        unknown = [p for p in missing if p not in young]
+        young.update(zip(unknown, self.fresh(unknown), strict=True))
+        raw = b"".join([young[p] for p in pieces])
+        for p in unknown:
+            if len(p) > LETTERS_KEPT:
+                del young[p]
+        return np.frombuffer(raw, np.uint32)
+
+
+class PrefixBPE(_Cached):
+    def __init__(self, path: str):
+        super().__init__(path)
         model = self.split.spec["model"]
         byte_of = {c: b for b, c in enumerate(byte_letters())}
         vocab: dict[str, int] = model["vocab"]
@@ -91,7 +126,10 @@ class PrefixBPE:
             self.automaton.add_word(self.bytes_of[i].decode("latin-1"), (len(self.bytes_of[i]), i))
         self.automaton.make_automaton()
         self.pairs: dict[int, bool] = {}
-        self.kept: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        size = 1 + max([*self.bytes_of, *self.added_bytes])
+        #: Bytes and decimal digits of every id.
+        self.table = [self.bytes_of.get(i, self.added_bytes.get(i)) for i in range(size)]
+        self.digits = [str(i) for i in range(size)]
 
     def compatible(self, u: int, v: int, limit: float = math.inf) -> bool:
         """Whether tokens u and v stay apart: undo their merges from the last on; a merge across the border, of lower rank than the merge undone last, would have come first."""
@@ -132,51 +170,31 @@ class PrefixBPE:
             at -= back[at]
         return ids[::-1]
 
-    def piece(self, piece: str) -> tuple[tuple[int, ...], str, bytes]:
-        """Ids, ids as text with a comma after each, and the bytes that these ids decode to."""
-        found = self.kept.get(piece)
-        if found is None:
-            if len(self.kept) >= PIECES_KEPT:
-                self.kept.clear()
-            ids = (self.split.added[piece],) if piece in self.split.added else tuple(self.encode_piece(piece.encode("utf-8", "surrogatepass")))
-            found = ids, "".join(f"{i}," for i in ids), self.decode_bytes(ids)
-            if len(piece) < 64:
-                self.kept[piece] = found
-        return found
-
-    def encode(self, text: str | None) -> list[int]:
-        return [i for p in self.split(text or "") for i in self.piece(p)[0]]
+    def fresh(self, pieces: list[str]) -> Iterable[bytes]:
+        added = self.split.added
+        for p in pieces:
+            yield array("I", [added[p]] if p in added else self.encode_piece(p.encode("utf-8", "surrogatepass"))).tobytes()
 
     def decode_bytes(self, ids: Iterable[int]) -> bytes:
-        return b"".join([self.bytes_of[i] if i in self.bytes_of else self.added_bytes[i] for i in ids])
+        try:
+            return b"".join(map(self.table.__getitem__, ids))
+        except (IndexError, TypeError):
+            raise KeyError("an id that is no token") from None
 
     def decode(self, ids: Iterable[int]) -> str:
         return self.decode_bytes(ids).decode("utf-8", "replace")
 
+    def written(self, ids: Iterable[int]) -> str:
+        """Decimal ids, joined by commas."""
+        return ",".join(map(self.digits.__getitem__, ids))
+
 
-class LibraryBPE:
+class LibraryBPE(_Cached):
     """The tokenizers library's own encoding, each distinct piece passed to it once while cached."""
 
-    def __init__(self, path: str):
-        self.split = Splitter(path)
-        self.kept: dict[str, list[int]] = {}
-
-    def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
-        pieces = [self.split(t or "") for t in texts]
-        kept = self.kept
-        fresh = list({p for own in pieces for p in own if p not in kept})
-        if len(kept) + len(fresh) > PIECES_KEPT and kept:
-            kept.clear()
-            fresh = list({p for own in pieces for p in own})
-        for p, e in zip(fresh, self.split.library.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            kept[p] = e.ids
-        out = []
-        for own in pieces:
-            ids: list[int] = []
-            for p in own:
-                ids += kept[p]
-            out.append(ids)
-        return out
+    def fresh(self, pieces: list[str]) -> Iterable[bytes]:
+        for e in self.split.library.encode_batch_fast(pieces, add_special_tokens=False):
+            yield array("I", e.ids).tobytes()
 
 
 _MADE: dict[tuple[type, str], object] = {}

@@ -32,14 +32,10 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         for batch in batches:
             counts, ids_sha, decoded_sha = [], [], []
             for text in batch.column(1):
-                ids, written, decoded = [], [], []
-                for found in map(bpe.piece, bpe.split(text.as_py() or "")):
-                    ids.append(len(found[0]))
-                    written.append(found[1])
-                    decoded.append(found[2])
-                counts.append(sum(ids))
-                ids_sha.append(hashlib.sha256("".join(written)[:-1].encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(b"".join(decoded).decode("utf-8", "replace").encode()).hexdigest())
+                ids = bpe.encode(text.as_py()).tolist()
+                counts.append(len(ids))
+                ids_sha.append(hashlib.sha256(bpe.written(ids).encode()).hexdigest())
+                decoded_sha.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

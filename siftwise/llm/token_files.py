@@ -24,14 +24,14 @@ from siftwise.llm.bpe import LibraryBPE, shared
 
 SEGMENT = "part long, base long, doc_ids array<long>, lengths array<long>, data binary"
 #: Ids coded at once (lanes of 2048 ids each) and in one segment, but for a document that is longer.
-AT_ONCE, PER_SEGMENT = 6_000_000, 500_000
+AT_ONCE, PER_SEGMENT = 8_000_000, 500_000
 
 
 def _write(path: str, end_id: int, per_segment: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, base = shared(LibraryBPE, path), TaskContext.get().partitionId(), 0
         segments: list[tuple[list, list[int], list[np.ndarray]]] = [([], [], [])]
-        held = 0
+        held = in_segment = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal base, held
@@ -49,17 +49,20 @@ def _write(path: str, end_id: int, per_segment: int):
         for batch in batches:
             for start in range(0, len(batch), 200):
                 piece = batch.slice(start, 200)
-                for doc_id, ids in zip(piece.column(0).to_pylist(), encoder.encode_batch(piece.column(1).to_pylist()), strict=True):
-                    ids.append(end_id)
-                    if sum(segments[-1][1]) + len(ids) > per_segment and segments[-1][0]:
+                for doc_id, text in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
+                    ids = np.append(encoder.encode(text), np.uint32(end_id))
+                    if in_segment + len(ids) > per_segment and segments[-1][0]:
                         segments.append(([], [], []))
+                        in_segment = 0
                     now = segments[-1]
                     now[0].append(doc_id)
                     now[1].append(len(ids))
-                    now[2].append(np.array(ids, np.uint32))
+                    now[2].append(ids)
                     held += len(ids)
+                    in_segment += len(ids)
                 if held >= AT_ONCE:
                     yield from flush()
+                    in_segment = 0
         yield from flush()
 
     return run
