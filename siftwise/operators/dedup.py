@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftwise.operators.normalize import valid_url
+from siftwise.plans.stages import save_stage
 
 CAP = 20_000
 DISCARDED = "discarded because the cap on ids was passed"
@@ -23,12 +24,11 @@ def merge_by_hash(df: DataFrame, cap: int = CAP, key: str = "sha1", ident: str =
     comes first, so the lists of popular hashes are never built.
     """
     marks = [F.max(discarded).alias("marked")] if discarded else [F.lit(None).cast("string").alias("marked")]
-    pairs = df.groupBy(key, ident).agg(F.min(F.when(valid_url(F.col(url)), F.col(url))).alias("url"), *marks)
+    # a table of its own: content is hashed and dealt once, both uses below read (key, id) pairs
+    pairs = save_stage(df.groupBy(key, ident).agg(F.min(F.when(valid_url(F.col(url)), F.col(url))).alias("url"), *marks), "pairs")
     counts = pairs.groupBy(key).agg(F.count(ident).alias("n_ids"), F.min("url").alias("url"), F.max("marked").alias("marked"))
     over = (F.col("n_ids") > cap) | F.col("marked").isNotNull()
-    kept = counts.where(~over).select(key)
-    # no filter on null ids (lists leave them out): both uses of `pairs` stay one exchange
-    lists = pairs.join(kept, key, "left_semi").groupBy(key).agg(F.array_sort(F.collect_list(ident)).alias("ids"))
+    lists = pairs.join(counts.where(~over).select(key), key, "left_semi").groupBy(key).agg(F.array_sort(F.collect_list(ident)).alias("ids"))
     empty = F.array().cast(f"array<{df.schema[ident].dataType.simpleString()}>")
     return counts.join(lists, key, "left").select(
         key, "url", F.when(over, empty).otherwise(F.coalesce("ids", empty)).alias("ids"), "n_ids", F.when(over, F.coalesce("marked", F.lit(DISCARDED))).alias("discarded")
