@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftwise.operators.vectors import eigenvalue_allocation, lists_of, map_vectors, matrix_of
+from siftwise.plans.stages import save_stage
 
 CODES = "id long, c0 int, c1 int, fine array<int>"
 
@@ -146,7 +147,8 @@ def train_rotations(df: DataFrame, vector: str, model: LOPQModel) -> LOPQModel:
 
 def train_subquantisers(df: DataFrame, vector: str, model: LOPQModel, m: int, s: int, seed: int = 1, iterations: int = 10) -> LOPQModel:
     dim = 2 * model.cs.shape[2]
-    local = map_vectors(df.withColumn("_k", F.lit(0)), "_k", vector, lambda x: model.project(x, model.coarse(x)), "local").drop("_k")
+    # projected once, for all parts
+    local = save_stage(map_vectors(df.withColumn("_k", F.lit(0)), "_k", vector, lambda x: model.project(x, model.coarse(x)), "local").drop("_k"), "local")
     subs = [_kmeans(local.select(F.slice("local", j * dim // m + 1, dim // m).alias("p")), "p", s, seed + j, iterations) for j in range(m)]
     return LOPQModel(model.cs, model.rs, model.mus, np.stack(subs), model.extra)
 
