@@ -4,7 +4,7 @@ Only vectors of equal, non-null label (and equal length) are compared. Equal vec
 representative with a weight, so a very common vector costs one row. Unit vectors at cosine c are sqrt(2 - 2c) apart;
 a table concatenates PROJECTIONS quantised Gaussian projections floor((a.v + b) / WIDTH). At cosine 0.98 (distance
 0.2) one projection agrees with probability 0.90 and one table with 0.35, so TABLES tables miss a pair with
-probability 4e-6; pairs at right angles meet in a table with probability 1e-4.
+probability 1e-6; pairs at right angles meet in a table with probability 1e-4.
 
 A bucket's blocks meet blocks (see blocks.py) in matrix products: what leaves a task is each vector's number of new
 links and a spanning forest, never the pairs. A pair is counted in the first table where it meets only.
