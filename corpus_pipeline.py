@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwise.llm import decontamination, line_dedup, minhash_dedup, toxicity
-from siftwise.llm.bpe import PrefixBPE, shared
+from siftwise.llm.bpe import PrefixBPE, forget, shared
+from siftwise.llm.memory import released
 from siftwise.plans.stages import save_stage, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -65,7 +66,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays([*rows.columns[:3], pa.array(counts), lists], ["doc_id", "lang", "source", "n_tokens", "ids"])
 
-    return docs.select("doc_id", "lang", "source", "text").mapInArrow(run, "doc_id long, lang string, source string, n_tokens long, ids array<int>")
+    return docs.select("doc_id", "lang", "source", "text").mapInArrow(released(run, forget), "doc_id long, lang string, source string, n_tokens long, ids array<int>")
 
 
 STAGES = [

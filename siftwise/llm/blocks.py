@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siftwise.llm.memory import released
+
 
 def block_pairs(members: DataFrame, group: list[str], salt: Column, n_bytes: Column, block_rows: int, block_bytes: int) -> DataFrame:
     """members with _bi, _bj and _own: each row once for every pair of blocks of its group that its own block is in.
@@ -63,4 +65,4 @@ def map_groups(df: DataFrame, key: list[str], fn: Callable[[pa.Table, np.ndarray
             if len(t):
                 yield from fn(t, first_rows(t))
 
-    return df.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+    return df.repartition(*key).sortWithinPartitions(*key).mapInArrow(released(run), schema)

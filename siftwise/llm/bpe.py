@@ -25,7 +25,7 @@ PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 #: Outside these blocks Unicode versions may class characters otherwise; the library itself splits such texts.
 ELSEWHERE = regex.compile(r"[^\x00-ԯḀ-ỿ‐-⁤₠-₿]")
 #: Pieces in each of the two generations of a cache, letters of a piece that is kept, pairs of tokens.
-PIECES_KEPT, LETTERS_KEPT, PAIRS_KEPT = 150_000, 64, 300_000
+PIECES_KEPT, LETTERS_KEPT, PAIRS_KEPT = 120_000, 64, 200_000
 
 
 def byte_letters() -> list[str]:
@@ -77,6 +77,10 @@ class _Cached:
     def fresh(self, pieces: list[str]) -> Iterable[bytes]:
         raise NotImplementedError
 
+    def forget(self) -> None:
+        """Empty the caches."""
+        self.young, self.old = {}, {}
+
     def encode(self, text: str | None) -> np.ndarray:
         pieces, young = self.split(text or ""), self.young
         try:
@@ -131,6 +135,10 @@ class PrefixBPE(_Cached):
         self.table = [self.bytes_of.get(i, self.added_bytes.get(i)) for i in range(size)]
         self.digits = [str(i) for i in range(size)]
 
+    def forget(self) -> None:
+        super().forget()
+        self.pairs.clear()
+
     def compatible(self, u: int, v: int, limit: float = math.inf) -> bool:
         """Whether tokens u and v stay apart: undo their merges from the last on; a merge across the border, of lower rank than the merge undone last, would have come first."""
         while True:
@@ -200,6 +208,12 @@ class LibraryBPE(_Cached):
 _MADE: dict[tuple[type, str], object] = {}
 
 
+def forget() -> None:
+    """Empty the caches of this worker's encoders; the encoders stay."""
+    for made in _MADE.values():
+        made.forget()
+
+
 def shared(kind: type, path: str):
     """One encoder per Python worker and file, kept between tasks."""
     if (kind, path) not in _MADE:

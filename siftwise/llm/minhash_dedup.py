@@ -1,6 +1,6 @@
 """Near-duplicate documents: SetSketch registers, banded; joint likelihood estimates; links verified on full sets.
 
-1. Each text's five-word shingle set gives a 128-bit digest, its size and BANDS band hashes (one pass in numpy).
+1. Each text's five-word shingle set gives a 128-bit digest, its size and its band hashes (one pass in numpy).
 2. Documents of equal sets share one representative, so a group of copies costs one row from here on.
 3. Representatives that share a band hang on the smallest of its bucket (a map-side minimum and a join, never a
    collected bucket); the components of these candidate edges hold every pair that shares a band.
@@ -9,8 +9,9 @@
    forest of its true links, so the output is linear in its documents.
 5. Components of the true links are the classes.
 
-A pair at J = 0.85 shares one of 32 bands of 8 registers at least with probability 1 - 4e-5, and any member between
-them joins them as well. Estimates under `similarity` minus SLACK (7 standard errors) are not verified.
+A pair at J = 0.85 shares one of 32 bands of 8 registers at least with probability 1 - 4e-5; below 85 percent, 42 bands
+of 6 are used, which a pair at J = 0.80 passes with probability 1 - 3e-6. Any member between two joins them as well.
+Estimates under `similarity` minus SLACK (7 standard errors) are not verified.
 
 Defined cases: null and empty texts, and texts without words, have no shingles and link with nothing; a text of
 fewer than five words is one shingle; a null doc_id links with nothing, has a null component and is kept; rows that
@@ -25,40 +26,51 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siftwise.llm.blocks import block_pairs, map_groups
+from siftwise.llm.memory import released
 from siftwise.llm.sketches import SetSketch, shingle_sets
 from siftwise.plans.components import connected_components
 from siftwise.plans.stages import save_stage
 
-REGISTERS, ROWS, SHINGLE = 256, 8, 5
+SHINGLE = 5
 SLACK = 0.16
 #: Bytes and rows of text hashed at once; rows and bytes of a block.
 CHUNK, CHUNK_ROWS, BLOCK_ROWS, BLOCK_BYTES = 1 << 20, 1000, 512, 4 << 20
 SKETCHED = "doc_id long, n_shingles long, set_a long, set_b long, n_bytes long, bands array<long>"
 
 
-def _chunks(texts: list[str | None]) -> Iterator[slice]:
+def _chunks(texts: pa.Array) -> Iterator[slice]:
     start, total = 0, 0
-    for i, t in enumerate(texts):
-        total += len(t or "")
+    lengths = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    for i, n in enumerate(lengths):
+        total += n
         if total >= CHUNK or i + 1 - start >= CHUNK_ROWS:
             yield slice(start, i + 1)
             start, total = i + 1, 0
-    if start < len(texts):
-        yield slice(start, len(texts))
+    if start < len(lengths):
+        yield slice(start, len(lengths))
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    sketch = SetSketch(REGISTERS)
+def banding(percent: int) -> tuple[int, int]:
+    """Registers, and registers in a band, for a similarity."""
+    return (256, 8) if percent >= 85 else (252, 6)
+
+
+def _sketches(registers: int, rows: int):
+    return lambda batches: _sketch(batches, SetSketch(registers), rows)
+
+
+def _sketch(batches: Iterator[pa.RecordBatch], sketch: SetSketch, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1).to_pylist()
+        ids, texts = batch.column(0), batch.column(1)
         for part in _chunks(texts):
-            own = texts[part]
+            own = texts.slice(part.start, part.stop - part.start).to_pylist()
             sets, counts = shingle_sets(own, SHINGLE)
-            bands = sketch.bands(sketch.registers(sets, counts), ROWS)
+            bands = sketch.bands(sketch.registers(sets, counts), rows)
             ends = np.cumsum(counts)
             digests = np.frombuffer(b"".join(hashlib.blake2b(sets[e - c : e].tobytes(), digest_size=16).digest() for c, e in zip(counts, ends, strict=True)), np.int64).reshape(-1, 2)
             values = pa.ListArray.from_arrays(pa.array(np.arange(0, bands.size + 1, bands.shape[1]), pa.int32()), pa.array(bands.reshape(-1)))
@@ -120,8 +132,8 @@ def _verify(percent: int, sketch: SetSketch):
         return out | out.T
 
     def run(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        texts = table.column("text").to_pylist()
-        parts = [shingle_sets(texts[p], SHINGLE) for p in _chunks(texts)]
+        texts = table.column("text")
+        parts = [shingle_sets(texts.slice(p.start, p.stop - p.start).to_pylist(), SHINGLE) for p in _chunks(texts)]
         counts = np.concatenate([c for _, c in parts])
         each = [s for sets, c in parts for s in np.split(sets, np.cumsum(c)[:-1])]
         left, right = [], []
@@ -152,7 +164,7 @@ def _verify(percent: int, sketch: SetSketch):
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs; links have 100 * intersection >= percent * union."""
     texts = docs.select("doc_id", "text")
-    sketched = save_stage(texts.mapInArrow(_sketch, SKETCHED), "sketched")
+    sketched = save_stage(texts.mapInArrow(released(_sketches(*banding(percent))), SKETCHED), "sketched")
     key = ["set_a", "set_b", "n_shingles"]
     known = sketched.where("n_shingles > 0 and doc_id is not null")
     reps = save_stage(known.groupBy(*key).agg(F.min("doc_id").alias("rep")), "reps")
@@ -164,7 +176,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
 
     members = candidates.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("cand", "rep", "text")
     paired = block_pairs(members, ["cand"], F.xxhash64("rep"), F.length("text"), BLOCK_ROWS, BLOCK_BYTES)
-    links = map_groups(paired, ["cand", "_bi", "_bj"], _verify(percent, SetSketch(REGISTERS)), "a long, b long")
+    links = map_groups(paired, ["cand", "_bi", "_bj"], _verify(percent, SetSketch(banding(percent)[0])), "a long, b long")
     classes = connected_components(links).select(F.col("id").alias("rep"), "component")
 
     named = sketched.select("doc_id", *key).join(reps.join(classes, "rep", "left"), key, "left")

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftwise.llm import idcoder
-from siftwise.llm.bpe import LibraryBPE, shared
+from siftwise.llm.bpe import LibraryBPE, forget, shared
+from siftwise.llm.memory import released
 
 SEGMENT = "part long, base long, doc_ids array<long>, lengths array<long>, data binary"
 #: Ids coded at once (lanes of 2048 ids each) and in one segment, but for a document that is longer.
@@ -73,7 +74,7 @@ def write_token_files(docs: DataFrame, out: str, tokenizer_path: str, end_id: in
     rows = docs.select("doc_id", "text")
     n = [partitions] if partitions else []
     ranged = rows.repartitionByRange(*n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-    ranged.mapInArrow(_write(tokenizer_path, end_id, per_segment), SEGMENT).write.option("compression", "none").parquet(out)
+    ranged.mapInArrow(released(_write(tokenizer_path, end_id, per_segment), forget), SEGMENT).write.option("compression", "none").parquet(out)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,5 +100,5 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     totals = segments.groupBy("part").agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)).alias("n"))
     # one row per part, so a window over all of them is small
     before = totals.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("ahead"))
-    decoded = segments.mapInArrow(_read, "part long, base long, doc_id long, n_tokens long, ids binary")
+    decoded = segments.mapInArrow(released(_read), "part long, base long, doc_id long, n_tokens long, ids binary")
     return decoded.join(F.broadcast(before), "part").select("doc_id", (F.col("base") + F.col("ahead")).alias("start"), "n_tokens", "ids")

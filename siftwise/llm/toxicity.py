@@ -25,8 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from siftwise.llm.memory import released
+
 #: Labelled rows that a fit takes at most.
-MAX_ROWS = 20_000
+MAX_ROWS = 15_000
 #: Terms that are swapped for each other, group by group.
 IDENTITY_GROUPS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"), ("she", "he"), ("her", "his"),
@@ -38,7 +40,7 @@ IDENTITY_GROUPS = (
 SWAP = {term: group[(i + 1) % len(group)] for group in IDENTITY_GROUPS for i, term in enumerate(group)}
 WORD = re.compile(r"\w+")
 LEAST_DOCS, LEAST_Z, STEPS, RIDGE, FAIRNESS = 3, 2.0, 150, 1e-3, 1.0
-CACHE = 400_000
+CACHE = 150_000
 
 
 def words_of(text: str | None) -> set[str]:
@@ -169,7 +171,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows).select("doc_id", "label")
     # max_rows ids and labels at most are broadcast, so texts are read without a shuffle
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    distinct = rows.mapInArrow(_distinct_words, "doc_id long, label int, words string").groupBy("doc_id").agg(F.min(F.struct("label", "words")).alias("x"))
+    distinct = rows.mapInArrow(released(_distinct_words), "doc_id long, label int, words string").groupBy("doc_id").agg(F.min(F.struct("label", "words")).alias("x"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic: list[int] = []
@@ -184,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
         yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in weights] + [None], pa.string()), pa.array([w for _, w in weights] + [model.bias], pa.float64())], ["feature", "weight"])
 
     # one task holds max_rows rows at most; the driver gets the weights
-    weights = distinct.select("doc_id", "x.label", "x.words").coalesce(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("label", "words").mapInArrow(run, "feature string, weight double").toArrow()
+    weights = distinct.select("doc_id", "x.label", "x.words").coalesce(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id").select("label", "words").mapInArrow(released(run), "feature string, weight double").toArrow()
     found = dict(zip(weights.column(0).to_pylist(), weights.column(1).to_pylist(), strict=True))
     return Model(found, found.pop(None, -500.0))
 
@@ -207,4 +209,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], [*b.schema.names, "score", "predicted"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run, lambda: shared.value.kept.clear()), schema)
