@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftwise.llm import token_files
-from siftwise.llm.bpe import PrefixBPE, forget, shared
+from siftwise.llm.bpe import PrefixBPE, shared
 from siftwise.llm.memory import released
 from siftwise.plans.stages import shared_dir, table
 
@@ -39,7 +39,7 @@ def bpe_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
                 decoded_sha.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(released(run, forget), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return docs.select("doc_id", "text").mapInArrow(released(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
