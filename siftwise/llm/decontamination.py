@@ -3,7 +3,8 @@
 Texts become runs of letters and digits, lower-cased. Each fixed mask picks some of the next few tokens and ignores
 the others, so a hash of the picked ones survives substitutions at the ignored places. Document hashes that meet a
 benchmark hash give a diagonal (document position minus item position); the whole item is then laid on that
-diagonal and its equal tokens are counted. An item is found when at least `min_overlap` of its tokens are equal.
+diagonal and its equal tokens are counted. An item is found when at least `min_overlap` of its tokens are equal; what
+the document's beginning or end cuts off counts as not equal, and `start` is negative where the beginning is cut.
 
 Documents are read once, in one stage up to the hits: positions are exploded in generated code, the item side is
 broadcast when a count proves it small (else Spark shuffles both sides), and the aligned slice travels with the hit,
@@ -70,17 +71,19 @@ def overlaps(docs: DataFrame, items: DataFrame, min_overlap: float = 0.8) -> Dat
     )
     laid = (
         at.join(seeds, "seed")
-        .where(F.col("pos") >= F.col("at"))
         .join(texts, "item_no")
+        .withColumn("start", F.col("pos") - F.col("at"))
         .select(
             "doc_id",
             "item_id",
-            (F.col("pos") - F.col("at")).alias("start"),
+            "start",
             "item",
-            F.slice("toks", F.col("pos") - F.col("at") + 1, F.size("item")).alias("part"),
+            # a document may open inside an item: what lies before its first token counts as not equal
+            F.slice("item", F.greatest(-F.col("start"), F.lit(0)) + 1, F.size("item")).alias("laid"),
+            F.slice("toks", F.greatest("start", F.lit(0)) + 1, F.size("item")).alias("part"),
         )
     )
-    equal = F.aggregate(F.zip_with("item", "part", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
+    equal = F.aggregate(F.zip_with("laid", "part", lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda n, x: n + x)
     return (
         laid.select("doc_id", "item_id", "start", equal.cast("long").alias("n_equal"), F.size("item").cast("long").alias("n_tokens"))
         .where(F.col("n_equal") >= F.lit(min_overlap) * F.col("n_tokens"))

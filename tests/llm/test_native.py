@@ -117,5 +117,25 @@ def test_decontamination(spark, monkeypatch, bound):
     assert {r["doc_id"] for r in left.collect()} == {d for d, _ in docs} - bad
 
 
+def test_decontamination_of_cut_items(spark):
+    rng = random.Random(11)
+    items = [(i, [f"i{i}t{k}" for k in range(rng.randint(10, 40))]) for i in range(30)]
+    docs, want = [], set()
+    for i, w in items:
+        for part in range(12):
+            front, back, n = rng.randint(0, len(w) // 4), rng.choice([0, 0, 1]), rng.choice([0, 0, 1, 2])
+            v = w[front : len(w) - back]
+            for k in rng.sample(range(len(v)), n):
+                v[k] = "other"
+            d, equal = i * 100 + part, len(v) - n
+            docs.append((d, " ".join(v + ([] if back else ["after", "it"]))))
+            if equal >= 0.8 * len(w):
+                want.add((d, i, -front, equal, len(w)))
+    a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    got = {tuple(r) for r in decontamination.overlaps(a, b).collect()}
+    assert got == want and any(s < 0 for _, _, s, _, _ in want)
+    assert {r["doc_id"] for r in decontamination.drop_contaminated(a, b).collect()} == {d for d, _ in docs} - {d for d, *_ in want}
+
+
 def test_kept_hash(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0]
