@@ -3,8 +3,13 @@
 Each text node belongs to its root-to-leaf tag path. Per path, text length and punctuation are summed and divided by
 the number of nodes on that path; both ratios are smoothed over the order in which paths appear, fused, and compared
 with a threshold from their spread. What the markup says is fused in as well: paths through navigation, headers,
-footers, asides, forms, notices, adverts, comments or hidden parts weigh nothing, and where a page marks its article,
-paths inside it pass and paths outside do not.
+footers, asides, forms, notices, adverts, comments or hidden parts weigh nothing, and paths inside <article> or <main>
+weigh double.
+
+The text that passes chooses the content container: from the page inwards, the element that holds four fifths of its
+parent's weight (length times fused ratio), down to an article or to where no single child holds as much or a twentieth
+is the element's own. The chosen container is kept with its headings and lists, whatever their own ratios, but for what weighs nothing by its markup and,
+outside articles, inner containers of links.
 
 Defined cases: a null or empty page has the text ""; broken markup (unclosed or stray tags, unclosed comments) is
 read as far as it goes; a row stands alone, so repeated rows are equal and null ids or urls are returned as they are;
@@ -43,6 +48,10 @@ OUT_WORDS = frozenset(
     "reply replies disqus respond login pager pagination toolbar copyright skip widget toc teaser".split()
 )
 ARTICLE = frozenset(("article", "main"))
+#: Elements that can be the content container.
+CONTAINERS = frozenset("html body main article section div td".split())
+#: Weight of marked text without a ratio, and the share of its own text that tells a content container from a wrapper.
+LEAST, OWN = 1e-3, 0.05
 SPACED = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
@@ -67,10 +76,12 @@ def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def nodes_of(page: str) -> list[tuple[int, str, bool, bool, bool, str]]:
-    """Text nodes in order: block number, tag path, unwanted, inside an article, inside a link, text."""
+def nodes_of(page: str) -> tuple[list[tuple[int, str, bool, bool, bool, int, str]], list[tuple[int, str]]]:
+    """Text nodes in order: block number, tag path, unwanted, inside an article, inside a link, container, text; and
+    the containers: parent's number and tag, the page itself being number 0."""
     out = []
-    stack: list[tuple[str, str, bool, bool, bool]] = [("", "", False, False, False)]
+    containers = [(-1, "")]
+    stack: list[tuple[str, str, bool, bool, bool, int]] = [("", "", False, False, False, 0)]
     block, at = 0, 0
     while m := TOKEN.match(page, at):
         at = m.end()
@@ -111,7 +122,7 @@ def nodes_of(page: str) -> list[tuple[int, str, bool, bool, bool, str]]:
                     break
                 if stack[k][0] in FENCES:
                     break
-        _, path, unwanted, in_article, in_link = stack[-1]
+        _, path, unwanted, in_article, in_link, container = stack[-1]
         unwanted = unwanted or _unwanted(tag, m[3], in_article)
         if tag in RAW and not m[3].endswith("/"):
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
@@ -119,18 +130,35 @@ def nodes_of(page: str) -> list[tuple[int, str, bool, bool, bool, str]]:
             continue
         if m[3].endswith("/") and tag in ("svg", "path", "g"):
             continue
-        stack.append((tag, f"{path}/{tag}", unwanted, in_article or tag in ARTICLE, in_link or tag == "a"))
-    return out
-
-
-def main_text(page: str | None, smooth: int = 1, spread: float = 0.5) -> str:
-    nodes = nodes_of(page or "")
-    marked = any(in_article and not unwanted and text.strip() for _, _, unwanted, in_article, _, text in nodes)
+        if tag in CONTAINERS:
+            containers.append((container, tag))
+            container = len(containers) - 1
+        stack.append((tag, f"{path}/{tag}", unwanted, in_article or tag in ARTICLE, in_link or tag == "a", container))
+    return out, containers
+
+
+def container_of(containers: list[tuple[int, str]], weight: np.ndarray, own: np.ndarray, share: float) -> int:
+    """From the page inwards: the child that holds `share` of the weight, for as long as there is one and little of it is
+    the parent's own; an article is taken whole."""
+    children: dict[int, list[int]] = {}
+    for k, (parent, _) in enumerate(containers):
+        children.setdefault(parent, []).append(k)
+    at = 0
+    while containers[at][1] != "article" and at in children:
+        best = max(children[at], key=lambda k: weight[k])
+        if weight[best] <= 0 or weight[best] < share * weight[at] or own[at] > OWN * weight[at]:
+            break
+        at = best
+    return at
+
+
+def main_text(page: str | None, smooth: int = 1, spread: float = 0.5, share: float = 0.8) -> str:
+    nodes, containers = nodes_of(page or "")
     order: dict[tuple[str, bool], int] = {}
     for _, path, unwanted, *_ in nodes:
         order.setdefault((path, unwanted), len(order))
     n, chars, marks, linked, inside = (np.zeros(len(order)) for _ in range(5))
-    for _, path, unwanted, in_article, in_link, text in nodes:
+    for _, path, unwanted, in_article, in_link, _, text in nodes:
         k, text = order[path, unwanted], text.strip()
         n[k] += bool(text)
         chars[k] += len(text)
@@ -144,17 +172,32 @@ def main_text(page: str | None, smooth: int = 1, spread: float = 0.5) -> str:
     kernel = np.exp(-(np.arange(-smooth, smooth + 1) ** 2) / 2)
     smoothed = [np.convolve(np.pad(x, smooth, mode="edge"), kernel / kernel.sum(), "valid") for x in (ratio, dots)]
     own = ratio * (1 - linked / np.maximum(chars, 1))
-    fused = np.sqrt(np.maximum(own, 0) * smoothed[0]) * (1 + np.minimum(smoothed[1], 5)) * wanted
+    marked = inside / np.maximum(chars, 1)
+    # LEAST: marked text counts a little where the ratios see nothing, as in an article of links
+    fused = (np.sqrt(np.maximum(own, 0) * smoothed[0]) * (1 + np.minimum(smoothed[1], 5)) * (1 + marked) + LEAST * marked) * wanted
     threshold = spread * fused[wanted].std() if wanted.any() else 0.0
-    passes = wanted & ((inside > 0) if marked else (fused >= threshold) & (fused > 0))
-    # a block goes whole: by the paths that most of its text is on
-    blocks: dict[int, list[str]] = {}
-    votes: dict[int, int] = {}
-    for number, path, unwanted, _, _, text in nodes:
+    passes = (fused >= threshold) & (fused > 0)
+    # per container, with all it holds: weight of passing text, wanted text, wanted text in links
+    held = np.zeros((len(containers), 3))
+    for _, path, unwanted, _, in_link, container, text in nodes:
         if not unwanted:
+            k, size = order[path, False], len(text.strip())
+            held[container] += size * fused[k] * passes[k], size, size * in_link
+    direct = held[:, 0].copy()
+    for k in range(len(containers) - 1, 0, -1):
+        held[containers[k][0]] += held[k]
+    chosen = container_of(containers, held[:, 0], direct, share)
+    # what the chosen container holds is kept, but for containers without passing text that are mostly links
+    kept = np.zeros(len(containers), bool)
+    kept[chosen] = held[chosen, 0] > 0
+    whole = containers[chosen][1] == "article"
+    for k in range(chosen + 1, len(containers)):
+        kept[k] = kept[containers[k][0]] and (whole or held[k, 0] > 0 or 2 * held[k, 2] <= held[k, 1])
+    blocks: dict[int, list[str]] = {}
+    for number, _, unwanted, _, _, container, text in nodes:
+        if not unwanted and kept[container]:
             blocks.setdefault(number, []).append(text)
-            votes[number] = votes.get(number, 0) + (len(text.strip()) if passes[order[path, False]] else -len(text.strip()))
-    return " ".join(t for t in (" ".join("".join(parts).split()) for number, parts in blocks.items() if votes[number] > 0) if t)
+    return " ".join(t for t in (" ".join("".join(parts).split()) for parts in blocks.values()) if t)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -36,6 +36,27 @@ def test_extract(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+BODY = "".join(f"<p>Paragraph {k} of the story goes on for a while, as stories do; it says what happened, to whom, and why it mattered then.</p>" for k in range(6))
+STORY = " ".join(f"Paragraph {k} of the story goes on for a while, as stories do; it says what happened, to whom, and why it mattered then." for k in range(6))
+CARD = "<article><h3>Read on</h3><p>A short card, no more.</p></article>"
+CONTAINED = [
+    (f"<body><div class=top>{CARD}</div><div class=content>{BODY}</div></body>", STORY),
+    (f"<body><div class=content>{BODY}</div><div class=list>{CARD * 5}</div></body>", STORY),
+    (f"<body><div class=list>{CARD * 5}</div><main><article>{BODY}</article></main></body>", STORY),
+    (f"<body><div><h1>Title</h1>{BODY}<h2>Parts</h2><ul><li>one<li>two</ul></div></body>", f"Title {STORY} Parts one two"),
+    (f"<body><div class=links><a href=a>A page</a> <a href=b>Another</a></div><h1>Title</h1>{BODY}</body>", f"Title {STORY}"),
+    (f"<article><h1>Title</h1><p>Short.</p><ul><li>one</ul><section>{BODY}</section></article><div>Elsewhere</div>", f"Title Short. one {STORY}"),
+    (f"<article>{BODY}</article><article>{BODY}</article>", f"{STORY} {STORY}"),
+    (f"<body><div><p>An opening that stands before the box, long enough to count as text of its own.</p><div>{BODY}</div></div></body>", f"An opening that stands before the box, long enough to count as text of its own. {STORY}"),
+    ("<nav>out</nav><article><a href=x>All of it is a link</a></article>", "All of it is a link"),
+]
+
+
+@pytest.mark.parametrize("page, want", CONTAINED)
+def test_content_container(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def sentences():
     clean = [f"the {a} person went to the {b} and read a book about {c}" for a in ("old", "tall", "kind", "quiet") for b in ("park", "house", "lake", "shop") for c in ("birds", "trees", "music", "maps")]
     mean = [f"you {a} {b} go away from the {c}" for a in ("stupid", "awful", "vile") for b in ("fool", "liar", "pest", "creep") for c in ("park", "house", "lake")]
