@@ -1,13 +1,14 @@
 """Nearest neighbours of a query set: exact, and by Hamming shortlist with exact re-rank.
 
-The query set is collected (its size is checked) and sent to every task in blocks; base rows stay where they are, and
+The query set is collected in blocks of about MAX_QUERIES, each sent to every task of its own scan; base rows stay where they are, and
 each batch returns its best k per query only, so what is shuffled grows with queries x k x batches, not with pairs.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +23,26 @@ FOUND = "qid long, id long, dist double"
 PRESETS = {"strict": 0.1, "balanced": 0.25, "loose": 0.5}
 
 
-def _collected(queries: DataFrame, key: str, vector: str) -> tuple[np.ndarray, np.ndarray]:
-    rows = queries.where(F.col(vector).isNotNull()).select(key, vector).limit(MAX_QUERIES + 1).toArrow()
-    if len(rows) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries: split the query set")
+def collected(rows: DataFrame, key: str, vector: str) -> tuple[np.ndarray, np.ndarray]:
+    rows = rows.where(F.col(vector).isNotNull()).select(key, vector).toArrow()
     column = rows.column(1).combine_chunks()
     return rows.column(0).to_numpy().astype(np.int64), matrix_of(column.chunk(0) if isinstance(column, pa.ChunkedArray) else column)
 
 
-def _best(block: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def query_blocks(queries: DataFrame, key: str, vector: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and vectors of the query set, in as many blocks by a hash of the id as keep each near MAX_QUERIES at most."""
+    asked = queries.where(F.col(vector).isNotNull())
+    n = math.ceil(asked.count() / MAX_QUERIES)
+    for k in range(max(n, 1)):
+        yield collected(asked.where(F.pmod(F.xxhash64(key), F.lit(n)) == k) if n > 1 else asked, key, vector)
+
+
+def over_blocks(queries: DataFrame, key: str, vector: str, run: Callable[[np.ndarray, np.ndarray], DataFrame]) -> DataFrame:
+    """What `run` finds for each block of queries."""
+    return reduce(DataFrame.unionByName, [run(qids, q) for qids, q in query_blocks(queries, key, vector)])
+
+
+def best_of(block: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Row and column of the k least values of each row, all ties of the k-th included."""
     if block.shape[1] > k:
         limit = np.partition(block, k - 1, axis=1)[:, k - 1 : k]
@@ -46,7 +58,7 @@ def _scan(qids: np.ndarray, q: np.ndarray, k: int, distance) -> callable:
             ids, x = b.column(0).to_numpy(zero_copy_only=False), matrix_of(b.column(1))
             for start in range(0, len(q), BLOCK):
                 d = distance(q[start : start + BLOCK], x)
-                r, c = _best(d, ids, k)
+                r, c = best_of(d, k)
                 yield pa.RecordBatch.from_arrays([pa.array(qids[start : start + BLOCK][r]), pa.array(ids[c].astype(np.int64)), pa.array(d[r, c].astype(np.float64))], ["qid", "id", "dist"])
 
     return run
@@ -75,15 +87,14 @@ def ranked(found: DataFrame, k: int, dist: str = "dist") -> DataFrame:
 
 def exact_knn(base: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", distance=inner_distance) -> DataFrame:
     """(qid, id, dist, rank) of the k nearest base vectors of each query vector."""
-    qids, q = _collected(queries, key, vector)
     rows = base.where(F.col(vector).isNotNull()).select(key, vector)
-    return ranked(rows.mapInArrow(_scan(qids, q, k, distance), FOUND), k)
+    return ranked(over_blocks(queries, key, vector, lambda qids, q: rows.mapInArrow(_scan(qids, q, k, distance), FOUND)), k)
 
 
 def hamming_shortlist(codes: DataFrame, queries: DataFrame, size: int, key: str = "vec_id") -> DataFrame:
     """(qid, id, dist, rank) of the `size` codes of least Hamming distance, ties by id."""
-    qids, q = _collected(queries, key, "code")
-    return ranked(codes.select(key, "code").mapInArrow(_scan(qids, q, size, hamming_words), FOUND), size)
+    rows = codes.select(key, "code")
+    return ranked(over_blocks(queries, key, "code", lambda qids, q: rows.mapInArrow(_scan(qids, q, size, hamming_words), FOUND)), size)
 
 
 def shortlist_size(n: int, ratio: float, top: int = 0) -> int:

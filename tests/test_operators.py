@@ -144,6 +144,14 @@ def test_lopq(spark, tmp_path):
     assert codecs.read_codes_text(spark, str(tmp_path / "codes")).exceptAll(codes).count() == 0
 
 
+def test_query_blocks(spark, monkeypatch):
+    e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    whole = sorted(map(tuple, knn.exact_knn(e, e.where("vec_id % 20 = 0"), 3).select("qid", "id", "rank").collect()))
+    monkeypatch.setattr(knn, "MAX_QUERIES", 7)
+    assert len(list(knn.query_blocks(e.where("vec_id % 20 = 0"), "vec_id", "embedding"))) == 4
+    assert sorted(map(tuple, knn.exact_knn(e, e.where("vec_id % 20 = 0"), 3).select("qid", "id", "rank").collect())) == whole
+
+
 def test_few_points_keep_identity(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0, 2.0, 3.0]) for i in range(3)], "id long, x array<double>")
     model = lopq.train_rotations(df, "x", lopq.LOPQModel(np.array([[[0.0, 1.0], [100.0, 100.0]], [[2.0, 3.0], [50.0, 50.0]]])))
