@@ -107,7 +107,8 @@ def t11(spark, d):
 
 def lopq_found(spark, d, quota=200, limit=K):
     e, model = embeddings(spark, d), trained(spark, d)
-    return lopq.search(queries(spark, d), "vec_id", "embedding", lopq.encode(e, "vec_id", "embedding", model), model, quota, limit)
+    effort = lopq.tune(e, queries(spark, d), "vec_id", "embedding", model, K, quota)
+    return lopq.search_reranked(e, queries(spark, d), "vec_id", "embedding", model, limit, effort)
 
 
 @query("t12")
@@ -144,7 +145,7 @@ def t22(spark, d):
 
 @query("t23")
 def t23(spark, d):
-    """Service search: unit vectors, PCA, quota of ten times the limit, near-duplicate filter, item data."""
+    """Service search: unit vectors, PCA, quota of ten times the limit or more, near-duplicate filter, item data."""
     from siftwise.operators import vectors as v
 
     e = embeddings(spark, d)
@@ -152,5 +153,6 @@ def t23(spark, d):
     unit = e.select("vec_id", s.normalised(F.col("embedding")).alias("embedding"))
     reduced = v.apply_pca(unit, "vec_id", "embedding", pca, "x")
     model = lopq.train(reduced, "x", 4, 8, 16, 7)
-    hits = lopq.search(reduced.where(QUERY), "vec_id", "x", lopq.encode(reduced, "vec_id", "x", model), model, 10 * K, K)
+    asked = reduced.where(QUERY)
+    hits = lopq.search_reranked(reduced, asked, "vec_id", "x", model, K, lopq.tune(reduced, asked, "vec_id", "x", model, K, 10 * K))
     return knn.near_duplicates(hits, 0.6).join(e.select(F.col("vec_id").alias("id"), "label"), "id").select("qid", "id", "rank", "label")

@@ -8,6 +8,7 @@ the data) and travel with the task closure; data stay in DataFrames.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,9 +19,14 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from siftwise.operators import knn
 from siftwise.operators.vectors import eigenvalue_allocation, lists_of, map_vectors, matrix_of
 from siftwise.plans.stages import save_stage
 
+#: What a tuned search must find of its sample's true neighbours; over 0.9, so that other queries reach that as well.
+RECALL = 0.93
+#: Queries and base vectors that tuning samples, about; queries of a block.
+SAMPLED, SAMPLE, BLOCK = 200, 2000, 256
 CODES = "id long, c0 int, c1 int, fine array<int>"
 
 
@@ -255,6 +261,103 @@ def search(queries: DataFrame, key: str, vector: str, codes: DataFrame, model: L
     return pairs.select("qid", "id", "c0", "c1", "fine", "x").groupBy("qid").applyInArrow(rank, "qid long, id long, dist double, rank int, visited long")
 
 
+@dataclass
+class Effort:
+    """How far `search_reranked` goes: the quota of visited vectors, and how many of `sample` (code reconstructions of a
+    sample of the base) may be nearer by code than a shortlisted vector; past the sample's size all are shortlisted."""
+
+    quota: int
+    nearer: int
+    counts: np.ndarray  # vectors of each cell, V * V
+    sample: np.ndarray
+
+
+def _squared_distances(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return 2 * knn.half_squared(q, x)
+
+
+def _before(q: np.ndarray, model: LOPQModel, counts: np.ndarray) -> np.ndarray:
+    """For each query and cell, the vectors in cells that come first; in the order of `multisequence`."""
+    a, b = (squared(h, c) for h, c in zip(model.halves(q), model.cs, strict=True))
+    order = np.argsort((a[:, :, None] + b[:, None, :]).reshape(len(q), model.v**2), axis=1, kind="stable")
+    n = counts[order]
+    out = np.empty_like(n)
+    np.put_along_axis(out, order, np.cumsum(n, axis=1) - n, axis=1)
+    return out
+
+
+def _coded(x: np.ndarray, model: LOPQModel) -> tuple[np.ndarray, np.ndarray]:
+    """Cells and reconstructions."""
+    coarse = model.coarse(x)
+    return coarse[:, 0] * model.v + coarse[:, 1], model.reconstruct(coarse, model.fine(x, coarse))
+
+
+def tune(base: DataFrame, queries: DataFrame, key: str, vector: str, model: LOPQModel, k: int, least_quota: int = 0) -> Effort:
+    """The least effort that finds RECALL of the true k nearest (but the query itself) of a sample of queries.
+
+    Bounded: SAMPLED queries and their neighbours, SAMPLE base vectors and V x V counts reach the driver."""
+    base = base.where(F.col(vector).isNotNull())
+    counts = np.zeros(model.v**2, np.int64)
+    for r in cell_counts(encode(base, key, vector, model)).collect():
+        counts[r["c0"] * model.v + r["c1"]] = r["n"]
+    some = lambda df, size, n: df.where(F.pmod(F.xxhash64(key), F.lit(1_000_000)) < 1_000_000 * size / max(n, 1))
+    _, x = knn.collected(some(base, SAMPLE, int(counts.sum())), key, vector)
+    queries = queries.where(F.col(vector).isNotNull())
+    asked = some(queries, SAMPLED, queries.count())
+    qids, q = knn.collected(asked, key, vector)
+    effort = Effort(least_quota, len(x) + 1, counts, _coded(x, model)[1] if len(x) else x)
+    if not len(x) or not len(q):
+        return effort
+    near = knn.ranked(knn.exact_knn(base, asked, k + 1, key, vector, knn.half_squared).where("qid <> id").drop("rank"), k)
+    true = near.select("qid", F.col("id").alias(key)).join(base.select(key, vector), key).select("qid", vector)
+    owner, t = knn.collected(true, "qid", vector)
+    if not len(t):
+        return effort
+    cell, y = _coded(t, model)
+    own = np.argsort(qids)[np.searchsorted(np.sort(qids), owner)]
+    before = _before(q, model, counts)[own, cell]
+    effort.quota = max(least_quota, int(np.sort(before)[math.ceil((1 + RECALL) / 2 * len(before)) - 1]) + 1)
+    nearer = np.sort(_squared_distances(q, effort.sample), axis=1)
+    e = ((q[own] - y) ** 2).sum(axis=1)
+    place = np.array([np.searchsorted(nearer[o], d - 1e-9) for o, d in zip(own, e, strict=True)]) + 1
+    effort.nearer = int(np.sort(np.where(before < effort.quota, place, len(x) + 1))[math.ceil(RECALL * len(place)) - 1])
+    return effort
+
+
+def search_reranked(base: DataFrame, queries: DataFrame, key: str, vector: str, model: LOPQModel, limit: int, effort: Effort) -> DataFrame:
+    """(qid, id, dist, rank, visited): the nearest of the quota's cells but the query itself. Code distances make the
+    shortlist, exact squared distances rank it; blocks of queries meet batches of the base, so pairs are no rows."""
+    rows = base.where(F.col(vector).isNotNull()).select(key, vector)
+    counts, nearer = effort.counts, effort.nearer
+
+    def scan(qids: np.ndarray, q: np.ndarray) -> DataFrame:
+        visited = np.zeros((len(q), len(counts)), bool)
+        radius = np.full(len(q), np.inf)
+        for start in range(0, len(q), BLOCK):
+            part = slice(start, start + BLOCK)
+            visited[part] = _before(q[part], model, counts) < effort.quota
+            if 0 < nearer <= len(effort.sample):
+                radius[part] = np.partition(_squared_distances(q[part], effort.sample), nearer - 1, axis=1)[:, nearer - 1] + 1e-9
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if not len(b):
+                    continue
+                ids, x = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64), matrix_of(b.column(1))
+                cell, y = _coded(x, model)
+                for start in range(0, len(q), BLOCK):
+                    part = slice(start, start + BLOCK)
+                    short = (_squared_distances(q[part], y) <= radius[part, None]) & visited[part][:, cell] & (qids[part, None] != ids)
+                    d = np.where(short, _squared_distances(q[part], x), np.inf)
+                    r, c = knn.best_of(d, limit)
+                    r, c = r[short[r, c]], c[short[r, c]]
+                    yield pa.RecordBatch.from_arrays([pa.array(qids[part][r]), pa.array(ids[c]), pa.array(d[r, c]), pa.array(visited[part][r] @ counts)], ["qid", "id", "dist", "visited"])
+
+        return rows.mapInArrow(run, "qid long, id long, dist double, visited long")
+
+    return knn.ranked(knn.over_blocks(queries, key, vector, scan), limit).select("qid", "id", "dist", "rank", "visited")
+
+
 def distortion(df: DataFrame, key: str, vector: str, model: LOPQModel) -> DataFrame:
     """(part, distortion): mean squared error of each sub-quantiser."""
 

@@ -144,6 +144,20 @@ def test_lopq(spark, tmp_path):
     assert codecs.read_codes_text(spark, str(tmp_path / "codes")).exceptAll(codes).count() == 0
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.1"])
+def test_registered_search_finds_true_neighbours(spark, sf):
+    from siftwise.catalog import QUERIES
+
+    d = f"/root/testdata/{sf}"
+    e = spark.read.parquet(f"{d}/embeddings.parquet")
+    true = knn.ranked(knn.exact_knn(e, e.where("vec_id % 20 = 0"), 11).where("qid <> id").drop("rank"), 10)
+    found = QUERIES["t13"](spark, d)
+    want, got = ({(r["qid"], r["id"]) for r in x.collect()} for x in (true, found))
+    assert len(want & got) >= 0.9 * len(want) and not any(q == i for q, i in got) and len(got) == len(want)
+    recall = {r["k"]: r["recall"] for r in QUERIES["a19"](spark, d).collect()}
+    assert recall[1] >= 0.9
+
+
 def test_query_blocks(spark, monkeypatch):
     e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     whole = sorted(map(tuple, knn.exact_knn(e, e.where("vec_id % 20 = 0"), 3).select("qid", "id", "rank").collect()))
