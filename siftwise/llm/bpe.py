@@ -1,7 +1,7 @@
 """Byte-level BPE, exactly as the tokenizers library has it: encoding by per-prefix dynamic programming, and decoding.
 
 The BPE encoding of every prefix of a byte string has one last token. For each prefix the tokens that end there come
-from a suffix automaton over the vocabulary; a candidate is the last token if it can stand after the last token of the
+from an Aho-Corasick automaton over the vocabulary (not a suffix automaton, which would find the same ones); a candidate is the last token if it can stand after the last token of the
 prefix before it, that is, if no merge of the two sides would have crossed their border. Back-pointers from the whole
 string then give the ids. Pieces (split as the library splits) are encoded once and kept in a bounded cache.
 
