@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from siftwise.llm.memory import released
 
 #: Labelled rows that a fit takes at most.
-MAX_ROWS = 15_000
+MAX_ROWS = 20_000
 #: Terms that are swapped for each other, group by group.
 IDENTITY_GROUPS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("female", "male"), ("she", "he"), ("her", "his"),

@@ -88,6 +88,15 @@ def test_train_and_score(spark):
     assert toxicity.score(docs.limit(0), none).count() == 0
 
 
+def test_words_of_late_labelled_rows(spark):
+    ids = spark.range(24_000).select(F.col("id").alias("doc_id")).where(~toxicity.held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(19_000)
+    ids = [r["doc_id"] for r in ids.collect()]
+    late = set(ids[15_000:16_000:20])
+    docs = spark.createDataFrame([(i, "rareword here" if i in late else "some words here") for i in ids], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i in late or i % 50 == 0)) for i in ids], "doc_id long, toxic int")
+    assert toxicity.train(docs, marks).weights.get("rareword", 0) > 0
+
+
 @pytest.mark.slow
 def test_held_out_accuracy(spark):
     d = "/root/testdata/sf0.1"
