@@ -35,9 +35,9 @@ def t18(spark, d):
     return simgraph.weekly(edges(spark, d), day)
 
 
-@query("t19", EDGES + "SELECT v.vec_id AS src, e.dst, e.dist FROM (SELECT vec_id FROM embeddings WHERE vec_id < 60) v LEFT JOIN edges e ON e.src = v.vec_id")
+@query("t19", EDGES + "SELECT v.vec_id AS src, e.dst, e.dist FROM embeddings v LEFT JOIN edges e ON e.src = v.vec_id")
 def t19(spark, d):
-    keys = embeddings(spark, d).where("vec_id < 60").select(F.col("vec_id").alias("src"))
+    keys = embeddings(spark, d).select(F.col("vec_id").alias("src"))
     return simgraph.neighbours_of(edges(spark, d), keys)
 
 

@@ -192,7 +192,7 @@ def k07(spark, d):
 def k08(spark, d):
     rows = table(spark, d, "documents").select((F.col("doc_id") % 3).alias("segment"), "doc_id")
     out = fresh(spark, "k08")
-    keyed.dense_ids(rows, ["segment", "doc_id"], "pos").coalesce(1).write.parquet(out)
+    keyed.dense_ids(rows, ["segment", "doc_id"], "pos").write.parquet(out)
     return spark.read.parquet(out).groupBy("segment").agg(F.min("pos").cast("long").alias("low"), F.max("pos").cast("long").alias("high"))
 
 
@@ -209,7 +209,7 @@ def k10(spark, d):
     return keyed.insert_ignore(nation.where("n_nationkey % 2 = 0"), nation.withColumn("n_name", F.lit("new")), ["n_nationkey"])
 
 
-@query("k11", "SELECT 'made' AS name, 0 AS n".replace("0 AS n", "0::BIGINT AS n"))
+@query("k11", "SELECT 'made' AS name, 0::BIGINT AS n")
 def k11(spark, d):
     from siftwise.sources.store import StageStore
 

@@ -182,6 +182,6 @@ def p23(spark, d):
     return n.clean_neighbours(lists, "k", "hashes", "dists")
 
 
-@query("p24", "SELECT doc_id, regexp_replace(left(text, 200), '[^a-zA-Z]+', ' ', 'g') AS clean FROM documents")
+@query("p24", "SELECT doc_id, regexp_replace(text, '[^a-zA-Z]+', ' ', 'g') AS clean FROM documents")
 def p24(spark, d):
-    return table(spark, d, "documents").select("doc_id", F.regexp_replace(F.substring("text", 1, 200), "[^a-zA-Z]+", " ").alias("clean"))
+    return table(spark, d, "documents").select("doc_id", F.regexp_replace("text", "[^a-zA-Z]+", " ").alias("clean"))

@@ -52,9 +52,9 @@ def x04(spark, d):
     return headers(spark, d).select("n_nationkey", images.info_json(images.image_info("data")).alias("j"))
 
 
-@query("x05", "SELECT doc_id, base64(encode(left(text, 50))) AS b FROM documents")
+@query("x05", "SELECT doc_id, base64(encode(text)) AS b FROM documents")
 def x05(spark, d):
-    return table(spark, d, "documents").select("doc_id", s.one_line_base64(F.encode(F.substring("text", 1, 50), "utf-8")).alias("b"))
+    return table(spark, d, "documents").select("doc_id", s.one_line_base64(F.encode("text", "utf-8")).alias("b"))
 
 
 @query("x06", "SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS iso FROM events")

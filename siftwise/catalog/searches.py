@@ -12,7 +12,6 @@ from siftwise.operators import knn, lopq
 
 QUERY = "vec_id % 20 = 0"
 RATIO, K = 0.2, 10
-DISTANCE = s.half_squared_l2
 
 HAMMING = HASHED + ", h AS (SELECT q.vec_id AS qid, c.vec_id AS id, (bit_count(xor(q.w0, c.w0)) + bit_count(xor(q.w1, c.w1)))::INT AS hd FROM code q, code c WHERE q.vec_id % 20 = 0)"
 SHORT = HAMMING + ", t AS (SELECT qid, id, hd FROM h QUALIFY row_number() OVER (PARTITION BY qid ORDER BY hd, id) <= (SELECT ceil(count(*) * 0.2) FROM embeddings))"
@@ -35,7 +34,7 @@ def queries(spark, d):
 
 def found(spark, d):
     c = codes(spark, d)
-    return knn.hamming_knn(embeddings(spark, d), queries(spark, d), c, c.where(QUERY), K, RATIO, DISTANCE(F.col("q"), F.col("x")))
+    return knn.hamming_knn(embeddings(spark, d), queries(spark, d), c, c.where(QUERY), K, RATIO)
 
 
 @query("t01", f"SELECT vec_id FROM embeddings WHERE {QUERY}")
@@ -46,8 +45,7 @@ def t01(spark, d):
 @query("t02", HAMMING + "SELECT qid, hd, count(*) AS n FROM h GROUP BY 1, 2")
 def t02(spark, d):
     c = codes(spark, d)
-    every = knn.hamming_shortlist(c, c.where(QUERY), c.count())
-    return every.groupBy("qid", F.col("dist").cast("int").alias("hd")).agg(F.count("*").alias("n"))
+    return knn.hamming_histogram(c, c.where(QUERY))
 
 
 @query("t03", SHORT + "SELECT qid, id, hd FROM t")
@@ -59,8 +57,8 @@ def t03(spark, d):
 @query("t04", RERANKED + "SELECT qid, id, round(dist, 5) + 0.0 AS dist FROM r")
 def t04(spark, d):
     c = codes(spark, d)
-    short = knn.hamming_shortlist(c, c.where(QUERY), knn.shortlist_size(c.count(), RATIO))
-    return knn.rerank(short, embeddings(spark, d), queries(spark, d), DISTANCE(F.col("q"), F.col("x"))).select("qid", "id", (F.round("dist", 5) + 0.0).alias("dist"))
+    near = knn.reranked(embeddings(spark, d), queries(spark, d), c, c.where(QUERY), knn.shortlist_size(c.count(), RATIO))
+    return near.select("qid", "id", (F.round("dist", 5) + 0.0).alias("dist"))
 
 
 @query("t05", RERANKED + "SELECT qid, id, rank, round(dist, 5) + 0.0 AS dist FROM k")
@@ -71,7 +69,7 @@ def t05(spark, d):
 @query("t06", RERANKED.replace("list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) ** 2 / 2", "1 - list_inner_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[])") + "SELECT qid, id, rank, round(dist, 5) + 0.0 AS dist FROM k")
 def t06(spark, d):
     c = codes(spark, d)
-    return shown(knn.hamming_knn(embeddings(spark, d), queries(spark, d), c, c.where(QUERY), K, RATIO, s.cosine_distance(F.col("q"), F.col("x"))))
+    return shown(knn.hamming_knn(embeddings(spark, d), queries(spark, d), c, c.where(QUERY), K, RATIO, knn.inner_distance))
 
 
 @query("t07", RERANKED + "SELECT qid, string_agg(id, ',' ORDER BY rank) AS ids FROM k GROUP BY 1")

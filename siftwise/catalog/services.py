@@ -53,15 +53,15 @@ def q02(spark, d):
     return service.search_by_hash(asked, edges(spark, d)).select("pos", "sha1", "dst", "dist")
 
 
-@query("q03", "SELECT vec_id AS sha1, vec_id % 3 = 0 AS precomputed FROM embeddings WHERE vec_id < 100")
+@query("q03", "SELECT vec_id AS sha1, vec_id % 3 = 0 AS precomputed FROM embeddings")
 def q03(spark, d):
-    e = embeddings(spark, d).where("vec_id < 100").select(F.col("vec_id").alias("sha1"), F.col("embedding").cast("array<double>").alias("feat"), F.col("label").cast("string").alias("content"))
+    e = embeddings(spark, d).select(F.col("vec_id").alias("sha1"), F.col("embedding").cast("array<double>").alias("feat"), F.col("label").cast("string").alias("content"))
     return service.with_features(e.select("sha1", "content"), e.where("sha1 % 3 = 0"), lambda c: F.array(c.cast("double"))).select("sha1", "precomputed")
 
 
-@query("q04", "SELECT doc_id, upper(sha1(left(text, 30))) AS sha1 FROM documents")
+@query("q04", "SELECT doc_id, upper(sha1(text)) AS sha1 FROM documents")
 def q04(spark, d):
-    sent = table(spark, d, "documents").select("doc_id", F.base64(F.encode(F.substring("text", 1, 30), "utf-8")).alias("data"))
+    sent = table(spark, d, "documents").select("doc_id", F.base64(F.encode("text", "utf-8")).alias("data"))
     return service.decode_b64(sent).select("doc_id", "sha1")
 
 

@@ -54,10 +54,10 @@ def a15(spark, d):
     return spark.createDataFrame([(i, round(float(x), 5)) for i, x in enumerate(total / n)], "pos int, mean double")
 
 
-@query("a16", "SELECT i::INT AS i, j::INT AS j, round(sum(embedding[i + 1]::DOUBLE * embedding[j + 1]::DOUBLE), 4) AS total FROM embeddings, (SELECT unnest(range(8)) AS i), (SELECT unnest(range(8)) AS j) GROUP BY ALL")
+@query("a16", "SELECT i::INT AS i, j::INT AS j, round(sum(embedding[i + 1]::DOUBLE * embedding[j + 1]::DOUBLE), 4) AS total FROM embeddings, (SELECT unnest(range(64)) AS i), (SELECT unnest(range(64)) AS j) GROUP BY ALL")
 def a16(spark, d):
     _, _, outer = v.outer_sums(embeddings(spark, d), "embedding")
-    return spark.createDataFrame([(i, j, round(float(outer[i, j]), 4)) for i in range(8) for j in range(8)], "i int, j int, total double")
+    return spark.createDataFrame([(i, j, round(float(outer[i, j]), 4)) for i in range(64) for j in range(64)], "i int, j int, total double")
 
 
 @query("a17", ASSIGN + "SELECT c0, count(*) AS n FROM a GROUP BY 1")
@@ -143,12 +143,12 @@ def pca(spark, d):
 
 @query("v07", """
 WITH m AS (SELECT i, j, sum(embedding[i + 1]::DOUBLE * embedding[j + 1]::DOUBLE) AS o, avg(embedding[i + 1]::DOUBLE) AS mi, avg(embedding[j + 1]::DOUBLE) AS mj, count(*) AS n
-FROM embeddings, (SELECT unnest(range(8)) AS i), (SELECT unnest(range(8)) AS j) GROUP BY 1, 2)
+FROM embeddings, (SELECT unnest(range(64)) AS i), (SELECT unnest(range(64)) AS j) GROUP BY 1, 2)
 SELECT i::INT AS i, j::INT AS j, round(o / (n - 1) - mi * mj, 6) AS cov FROM m
 """)
 def v07(spark, d):
     _, cov = v.covariance(*v.outer_sums(embeddings(spark, d), "embedding"))
-    return spark.createDataFrame([(i, j, round(float(cov[i, j]), 6)) for i in range(8) for j in range(8)], "i int, j int, cov double")
+    return spark.createDataFrame([(i, j, round(float(cov[i, j]), 6)) for i in range(64) for j in range(64)], "i int, j int, cov double")
 
 
 @query("v08")

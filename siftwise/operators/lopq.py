@@ -339,7 +339,11 @@ def search_reranked(base: DataFrame, queries: DataFrame, key: str, vector: str,
             if 0 < nearer <= len(effort.sample):
                 radius[part] = np.partition(_squared_distances(q[part], effort.sample), nearer - 1, axis=1)[:, nearer - 1] + 1e-9
 
+        sent = rows.sparkSession.sparkContext.broadcast((qids, q, visited, radius))
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            qids, q, visited, radius = sent.value
+            best = knn.Best(len(q), limit)
             for b in batches:
                 if not len(b):
                     continue
@@ -351,11 +355,15 @@ def search_reranked(base: DataFrame, queries: DataFrame, key: str, vector: str,
                     d = np.where(short, _squared_distances(q[part], x), np.inf)
                     r, c = knn.best_of(d, limit)
                     r, c = r[short[r, c]], c[short[r, c]]
-                    yield pa.RecordBatch.from_arrays([pa.array(qids[part][r]), pa.array(ids[c]), pa.array(d[r, c]), pa.array(visited[part][r] @ counts)], ["qid", "id", "dist", "visited"])
+                    best.add(r + start, ids[c], d[r, c])
+            at, ids, dist = best.prune()
+            for k in range(0, len(at), 1 << 14):
+                part = slice(k, k + (1 << 14))
+                yield pa.RecordBatch.from_arrays([pa.array(qids[at[part]]), pa.array(ids[part]), pa.array(dist[part]), pa.array(visited[at[part]] @ counts)], ["qid", "id", "dist", "visited"])
 
         return rows.mapInArrow(run, "qid long, id long, dist double, visited long")
 
-    return knn.ranked(knn.over_blocks(queries, key, vector, scan), limit).select("qid", "id", "dist", "rank", "visited")
+    return knn.ranked(knn.over_blocks(queries, key, vector, scan, per_query=model.v**2 + 48 * limit), limit).select("qid", "id", "dist", "rank", "visited")
 
 
 def distortion(df: DataFrame, key: str, vector: str, model: LOPQModel) -> DataFrame:

@@ -12,7 +12,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """edges(a, b) of longs -> (id, component), component = smallest id reachable; only ids that have an edge.
 
     Alternating large-star and small-star rounds (each a groupBy-min and a join back, never a collected
-    neighbour list), so the work per round is linear in the edges and a hot vertex is only a skewed join.
+    neighbour list), so the work per round is linear in the edges. The minima are tables of their own: a join with an
+    aggregate of the same key would bring each hub's edges to one task, a join with a table can be split by Spark.
     Each round is written to the shared folder; nothing but a change count reaches the driver.
     """
     now = save_stage(
@@ -24,11 +25,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     mark = _mark(now)
     for _ in range(max_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = save_stage(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "cc-low")
         # large star: every neighbour that is larger than v hangs on v's smallest neighbour
-        large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = save_stage(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "cc-large")
         # small star: v and its smaller neighbours hang on the smallest of them
-        small_low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small_low = save_stage(large.groupBy("a").agg(F.min("b").alias("m")), "cc-low")
         small = (
             large.join(small_low, "a")
             .select(F.explode(F.array(F.struct("b", "m"), F.struct(F.col("a").alias("b"), "m"))).alias("x"))
@@ -37,7 +38,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
             .distinct()
         )
         after = save_stage(small, "cc")
-        drop_stage(now)
+        for done in (now, low, large, small_low):
+            drop_stage(done)
         now, was, mark = after, mark, _mark(after)
         if mark == was:
             break

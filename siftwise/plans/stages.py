@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from spark.checkpoint.dir.
 
-    Only where that setting is missing (tests, local runs) a temporary folder is made.
+    Only where that setting is missing and all of Spark runs on this machine (tests, local runs) a temporary folder is made.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
@@ -27,6 +27,8 @@ def shared_dir(spark: SparkSession) -> str:
     set_before = spark.sparkContext.getCheckpointDir()
     if set_before:
         return set_before.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     own = tempfile.mkdtemp(prefix="siftwise-")
     atexit.register(shutil.rmtree, own, True)
     spark.sparkContext.setCheckpointDir(f"file://{own}")
@@ -57,6 +59,10 @@ def _filesystem(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast when a count proves that df has max_rows rows at most; else leave the choice to Spark."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int, n_bytes: Column | None = None, max_bytes: int = 64 << 20) -> DataFrame:
+    """Hint a broadcast when df is proved to have max_rows rows at most and, by n_bytes a row (for rows that vary),
+    max_bytes bytes at most; else leave the choice to Spark."""
+    if n_bytes is None:
+        return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    rows, size = df.agg(F.count("*"), F.sum(n_bytes.cast("long"))).first()
+    return F.broadcast(df) if rows <= max_rows and (size or 0) <= max_bytes else df

@@ -3,6 +3,8 @@
 import re
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 from siftwise.plans.stages import broadcast_if_small, drop_stage, save_stage, shared_dir
 
 ROOT = Path(__file__).resolve().parent.parent
@@ -26,3 +28,6 @@ def test_stage_tables(spark):
 def test_broadcast_is_size_checked(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(broadcast_if_small(spark.range(10), 10)) and not hinted(broadcast_if_small(spark.range(11), 10))
+    wide = lambda: spark.range(10).select(F.repeat(F.lit("x"), 100).alias("x"))
+    assert hinted(broadcast_if_small(wide(), 10, F.length("x"), 1000)) and not hinted(broadcast_if_small(wide(), 10, F.length("x"), 999))
+    assert hinted(broadcast_if_small(wide().limit(0), 10, F.length("x"), 0))

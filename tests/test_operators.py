@@ -96,7 +96,7 @@ def test_shortlist_of_everything_is_exact(spark):
     e = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
     q = e.where("vec_id % 50 = 0")
     codes = v.hash_codes(e, "vec_id", "embedding", v.fixed_projection(64, 64))
-    near = knn.hamming_knn(e, q, codes, codes.join(q.select("vec_id"), "vec_id"), 5, 1.0, s.cosine_distance(F.col("q"), F.col("x")))
+    near = knn.hamming_knn(e, q, codes, codes.join(q.select("vec_id"), "vec_id"), 5, 1.0, knn.inner_distance)
     pairs = lambda df: sorted((r["qid"], r["rank"], r["id"]) for r in df.collect())
     assert pairs(near) == pairs(knn.exact_knn(e, q, 5))
     exact = knn.exact_knn(e, q, 5)
