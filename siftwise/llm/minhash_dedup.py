@@ -2,21 +2,25 @@
 
 1. Each text's five-word shingle set gives a 128-bit digest, its size and its band hashes (one pass in numpy).
 2. Documents of equal sets share one representative, so a group of copies costs one row from here on.
-3. Representatives that share a band hang on the smallest of its bucket (a map-side minimum and a join, never a
-   collected bucket); the components of these candidate edges hold every pair that shares a band.
-4. Within a component, blocks of members meet blocks: sketches estimate J by joint likelihood, documents without a
-   likely partner leave, and exact intersections of the full sets decide. Each pair of blocks returns a spanning
-   forest of its true links, so the output is linear in its documents.
-5. Components of the true links are the classes.
+3. Stars: in each band bucket whose members are not of one class yet, every member is held against a pivot (one per
+   bucket and round), one exact comparison a member. Verified links make classes. This is linear in the members, and
+   groups of near copies of any size come together here.
+4. Rest: buckets that still hold several classes are compared in full, blocks against blocks, but only pairs of
+   different classes: sketches estimate J by joint likelihood, documents without a likely partner leave, and exact
+   intersections of the full sets decide. Each pair of blocks returns a spanning forest of its true links.
+5. Components of the true links are the classes. Only verified links ever join anything, so a chain of chance band
+   hits cannot grow a group.
 
-A pair at J = 0.85 shares one of 32 bands of 8 registers at least with probability 1 - 4e-5; below 85 percent, 42 bands
-of 6 are used, which a pair at J = 0.80 passes with probability 1 - 3e-6. Any member between two joins them as well.
-Estimates under `similarity` minus SLACK (7 standard errors) are not verified.
+Bands follow from the similarity (`banding`): a pair at that similarity shares none with probability MISS at most
+(1 in 26,000 at 85 percent: 32 bands of 8; 1 in 300,000 at 80: 42 of 6). Every pair that shares a band is in one class
+already or is compared. Pairs whose equal registers or estimate are 7 standard errors under what the similarity
+gives (SLACK for the estimate) are not verified.
 
 Defined cases: null and empty texts, and texts without words, have no shingles and link with nothing; a text of
-fewer than five words is one shingle; a null doc_id links with nothing, has a null component and is kept; rows that
-repeat a doc_id are one vertex and each is returned; the result has the columns doc_id, n_shingles, component_id,
-kept, whatever else docs has; an empty table gives an empty table.
+fewer than five words is one shingle; very long texts are hashed whole, a block holding one of them at least; a null
+doc_id links with nothing, has a null component and is kept; rows that repeat a doc_id are one vertex and each is
+returned; ties do not arise, a class has its smallest doc_id; the result has the columns doc_id, n_shingles,
+component_id, kept, whatever else docs has; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -34,10 +38,14 @@ from siftwise.llm.blocks import block_pairs, map_groups
 from siftwise.llm.memory import released
 from siftwise.llm.sketches import SetSketch, shingle_sets
 from siftwise.plans.components import connected_components
-from siftwise.plans.stages import save_stage
+from siftwise.plans.stages import broadcast_if_small, save_stage
 
 SHINGLE = 5
-SLACK = 0.16
+REGISTERS, MISS, SLACK = 256, 5e-5, 0.16
+#: Rounds of stars before buckets of several classes are compared in full.
+ROUNDS = 2
+#: Candidate ids that are broadcast at most.
+BROADCAST_IDS = 1_000_000
 #: Bytes and rows of text hashed at once; rows and bytes of a block.
 CHUNK, CHUNK_ROWS, BLOCK_ROWS, BLOCK_BYTES = 1 << 20, 1000, 512, 4 << 20
 SKETCHED = "doc_id long, n_shingles long, set_a long, set_b long, n_bytes long, bands array<long>"
@@ -56,8 +64,13 @@ def _chunks(texts: pa.Array) -> Iterator[slice]:
 
 
 def banding(percent: int) -> tuple[int, int]:
-    """Registers, and registers in a band, for a similarity."""
-    return (256, 8) if percent >= 85 else (252, 6)
+    """Registers, and registers in a band, for a similarity: the widest bands of which a pair at that similarity shares
+    none with probability MISS at most."""
+    for rows in range(8, 0, -1):
+        bands = REGISTERS // rows
+        if (1 - (percent / 100) ** rows) ** bands <= MISS:
+            return bands * rows, rows
+    raise ValueError("the similarity is too low for bands")
 
 
 def _sketches(registers: int, rows: int):
@@ -118,16 +131,17 @@ def _intersections(sets: list[np.ndarray]) -> np.ndarray:
 def _verify(percent: int, sketch: SetSketch):
     def likely(registers: np.ndarray, sizes: np.ndarray, cross: np.ndarray) -> np.ndarray:
         """Pairs whose joint estimate is not clearly below the similarity asked for."""
-        n = len(registers)
+        n, share = len(registers), percent / 100
+        least = sketch.m * share - 7 * (sketch.m * share * (1 - share)) ** 0.5
         larger, smaller = np.zeros((n, n), np.int16), np.zeros((n, n), np.int16)
         for r in range(sketch.m):
             k = registers[:, r]
             larger += k[:, None] > k[None, :]
             smaller += k[:, None] < k[None, :]
-        a, b = np.nonzero(cross & np.triu(sketch.m - larger - smaller >= sketch.m // 3, 1))
+        a, b = np.nonzero(cross & np.triu(sketch.m - larger - smaller >= least, 1))
         estimate = sketch.jaccard(larger[a, b].astype(float), smaller[a, b].astype(float), sizes[a].astype(float), sizes[b].astype(float))
         out = np.zeros((n, n), bool)
-        sure = estimate >= percent / 100 - SLACK
+        sure = estimate >= share - SLACK
         out[a[sure], b[sure]] = True
         return out | out.T
 
@@ -137,12 +151,16 @@ def _verify(percent: int, sketch: SetSketch):
         counts = np.concatenate([c for _, c in parts])
         each = [s for sets, c in parts for s in np.split(sets, np.cumsum(c)[:-1])]
         left, right = [], []
+        classes = table.column("label").to_numpy()
         reps, owns, same = table.column("rep").to_numpy(), table.column("_own").to_numpy(), table.column("_bi").to_numpy() == table.column("_bj").to_numpy()
         for start, stop in zip(starts, [*starts[1:], len(table)], strict=True):
             n = stop - start
             sets, sizes, ids, own = each[start:stop], counts[start:stop], reps[start:stop], owns[start:stop]
             cross = np.ones((n, n), bool) if same[start] else own[:, None] != own[None, :]
             cross &= (sizes > 0)[:, None] & (sizes > 0)[None, :]
+            cross &= classes[start:stop, None] != classes[None, start:stop]
+            if not cross.any():
+                continue
             if n > 4:
                 pairs = likely(sketch.registers(np.concatenate(sets), sizes), sizes, cross)
                 some = np.flatnonzero(pairs.any(axis=1))
@@ -161,6 +179,78 @@ def _verify(percent: int, sketch: SetSketch):
     return run
 
 
+def _verify_stars(percent: int):
+    """Links of members with their pivot, by exact intersections."""
+
+    def run(table: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        texts = table.column("text")
+        parts = [shingle_sets(texts.slice(p.start, p.stop - p.start).to_pylist(), SHINGLE) for p in _chunks(texts)]
+        counts, elements = np.concatenate([c for _, c in parts]), np.concatenate([s for s, _ in parts])
+        ends = np.cumsum(counts)
+        reps, pivots, is_pivot = (table.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "pivot", "is_pivot"))
+        left, right = [], []
+        for start, stop in zip(starts, [*starts[1:], len(table)], strict=True):
+            low, sizes = ends[start] - counts[start], counts[start:stop]
+            mine, owner = elements[low : ends[stop - 1]], np.repeat(np.arange(stop - start), sizes)
+            for k in np.flatnonzero(is_pivot[start:stop]):
+                pivot = elements[ends[start + k] - counts[start + k] : ends[start + k]]
+                if not len(pivot):
+                    continue
+                common = np.bincount(owner[pivot[np.minimum(np.searchsorted(pivot, mine), len(pivot) - 1)] == mine], minlength=len(sizes))
+                linked = (100 * common >= percent * (sizes + len(pivot) - common)) & (common > 0) & ~is_pivot[start:stop]
+                left.append(reps[start:stop][linked])
+                right.append(pivots[start:stop][linked])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (left, right)], ["a", "b"])
+
+    return run
+
+
+def _star_links(stars: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) of stars(rep, pivot): a pivot's members are dealt in parts, and the pivot's text goes to each."""
+    members = stars.join(texts, "rep").withColumn("is_pivot", F.lit(False))
+    sizes = members.groupBy("pivot").agg(F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum(F.length("text")) / BLOCK_BYTES)).cast("int").alias("of"))
+    sizes = save_stage(sizes, "stars")  # a table, so that Spark can split the members of a popular pivot
+    dealt = members.join(sizes, "pivot").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("of")).cast("int"))
+    hubs = sizes.join(texts.withColumnRenamed("rep", "pivot"), "pivot").select("pivot", F.col("pivot").alias("rep"), "text", F.lit(True).alias("is_pivot"), F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("part"))
+    columns = ["pivot", "part", "rep", "text", "is_pivot"]
+    return map_groups(dealt.select(*columns).unionByName(hubs.select(*columns)), ["pivot", "part"], _verify_stars(percent), "a long, b long")
+
+
+def _labelled(buckets: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Members of buckets with their class so far."""
+    if links is None:
+        return buckets.withColumn("label", F.col("rep"))
+    classes = connected_components(links).select(F.col("id").alias("rep"), "component")
+    return buckets.join(classes, "rep", "left").select("rep", "band", F.coalesce("component", "rep").alias("label"))
+
+
+def _mixed(labelled: DataFrame, turn: int) -> DataFrame:
+    """Buckets of several classes, with a pivot and its class; a table, so that Spark can split a popular bucket."""
+    order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
+    found = labelled.groupBy("band").agg(F.min(F.struct(order.alias("_o"), "rep", "label")).alias("p"), F.min("label").alias("_low"), F.max("label").alias("_high"))
+    return save_stage(found.where("_low < _high").select("band", F.col("p.rep").alias("pivot"), F.col("p.label").alias("pivot_label")), "mixed")
+
+
+def true_links(buckets: DataFrame, texts: DataFrame, percent: int) -> DataFrame | None:
+    """Links (a, b) that join all members of buckets(rep, band) whose sets are similar enough, as a forest or a little more."""
+    links = None
+    for turn in range(ROUNDS):
+        labelled = _labelled(buckets, links)
+        stars = labelled.join(_mixed(labelled, turn), "band").where("label <> pivot_label").groupBy("rep").agg(F.min("pivot").alias("pivot"))
+        found = save_stage(_star_links(save_stage(stars, "stars"), texts, percent), "links")
+        links = save_stage(links.unionByName(found), "links") if links is not None else found
+    labelled = save_stage(_labelled(buckets, links), "labelled")
+    rest = labelled.join(_mixed(labelled, ROUNDS).select("band"), "band")
+    # buckets of the same members are compared once
+    h = F.xxhash64("rep")
+    same = rest.groupBy("band").agg(F.count("*").alias("n"), F.bit_xor(h).alias("x"), F.sum(F.shiftright(h, 24)).alias("s"))
+    once = save_stage(same.groupBy("n", "x", "s").agg(F.min("band").alias("band")).select("band"), "once")
+    members = rest.join(once, "band").join(texts, "rep")
+    paired = block_pairs(members, ["band"], F.xxhash64("rep"), F.length("text"), BLOCK_ROWS, BLOCK_BYTES)
+    more = map_groups(paired, ["band", "_bi", "_bj"], _verify(percent, SetSketch(banding(percent)[0])), "a long, b long")
+    return links.unionByName(more)
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of docs; links have 100 * intersection >= percent * union."""
     texts = docs.select("doc_id", "text")
@@ -170,15 +260,13 @@ def near_duplicates(docs: DataFrame, percent: int = 80) -> DataFrame:
     reps = save_stage(known.groupBy(*key).agg(F.min("doc_id").alias("rep")), "reps")
 
     banded = known.join(reps, key).where("doc_id = rep").select("rep", F.explode("bands").alias("band"))
-    lowest = banded.groupBy("band").agg(F.min("rep").alias("lowest"), F.max("rep").alias("highest")).where("lowest < highest").select("band", "lowest")
-    edges = banded.join(lowest, "band").where("rep <> lowest").select(F.col("rep").alias("a"), F.col("lowest").alias("b")).distinct()
-    candidates = save_stage(connected_components(edges).select(F.col("id").alias("rep"), F.col("component").alias("cand")), "candidates")
-
-    members = candidates.join(texts.withColumnRenamed("doc_id", "rep"), "rep").select("cand", "rep", "text")
-    paired = block_pairs(members, ["cand"], F.xxhash64("rep"), F.length("text"), BLOCK_ROWS, BLOCK_BYTES)
-    links = map_groups(paired, ["cand", "_bi", "_bj"], _verify(percent, SetSketch(banding(percent)[0])), "a long, b long")
-    classes = connected_components(links).select(F.col("id").alias("rep"), "component")
+    shared = save_stage(banded.groupBy("band").agg(F.min("rep").alias("_low"), F.max("rep").alias("_high")).where("_low < _high").select("band"), "shared")
+    buckets = save_stage(banded.join(shared, "band").distinct(), "buckets")
+    ids = buckets.select("rep").distinct()
+    # texts that are in no bucket are not moved, nor kept
+    candidates = save_stage(texts.withColumnRenamed("doc_id", "rep").join(broadcast_if_small(ids, BROADCAST_IDS), "rep"), "candidates")
 
+    classes = connected_components(true_links(buckets, candidates, percent)).select(F.col("id").alias("rep"), "component")
     named = sketched.select("doc_id", *key).join(reps.join(classes, "rep", "left"), key, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
     return named.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

@@ -54,9 +54,19 @@ def documents():
     return texts + [None, "", " \n ", "one two", "ONE  two", "a b c d e", "a b c d", texts[5], texts[5], "  x", "long " * 5000]
 
 
-@pytest.mark.parametrize("rows", [512, 16])
-def test_near_duplicates(spark, monkeypatch, rows):
+def test_banding():
+    assert minhash_dedup.banding(85) == (256, 8) and minhash_dedup.banding(80) == (252, 6)
+    for percent in range(10, 101):
+        m, rows = minhash_dedup.banding(percent)
+        assert m <= 256 and (1 - (percent / 100) ** rows) ** (m // rows) <= 5e-5
+    with pytest.raises(ValueError, match="too low"):
+        minhash_dedup.banding(2)
+
+
+@pytest.mark.parametrize(("rows", "rounds"), [(512, 2), (16, 1)])
+def test_near_duplicates(spark, monkeypatch, rows, rounds):
     monkeypatch.setattr(minhash_dedup, "BLOCK_ROWS", rows)
+    monkeypatch.setattr(minhash_dedup, "ROUNDS", rounds)
     monkeypatch.setattr(minhash_dedup, "CHUNK", 5000)
     texts = documents()
     sets = [shingles(t) for t in texts]
