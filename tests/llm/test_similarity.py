@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siftwise.llm import embedding_dedup, minhash_dedup, sketches
 from siftwise.plans.components import connected_components
@@ -63,17 +64,17 @@ def test_banding():
         minhash_dedup.banding(2)
 
 
-@pytest.mark.parametrize(("rows", "rounds"), [(512, 2), (16, 1)])
-def test_near_duplicates(spark, monkeypatch, rows, rounds):
+@pytest.mark.parametrize(("rows", "rounds", "percent"), [(512, 2, 85), (16, 1, 85), (64, 2, 55)])
+def test_near_duplicates(spark, monkeypatch, rows, rounds, percent):
     monkeypatch.setattr(minhash_dedup, "BLOCK_ROWS", rows)
     monkeypatch.setattr(minhash_dedup, "ROUNDS", rounds)
     monkeypatch.setattr(minhash_dedup, "CHUNK", 5000)
     texts = documents()
     sets = [shingles(t) for t in texts]
-    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
     want = classes_of(len(texts), links)
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(None, texts[0], 1)], "doc_id long, text string, n_shingles int")
-    got = {r["doc_id"]: r for r in minhash_dedup.near_duplicates(df, 85).collect()}
+    got = {r["doc_id"]: r for r in minhash_dedup.near_duplicates(df, percent).collect()}
     assert len(got) == len(texts) + 1
     assert got[None]["component_id"] is None and got[None]["kept"]
     for i, t in enumerate(texts):
@@ -108,6 +109,27 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_tables_reach_the_recall():
+    rng = np.random.default_rng(3)
+    a = rng.standard_normal((400, 64))
+    a /= np.sqrt((a * a).sum(axis=1, keepdims=True))
+    side = rng.standard_normal((400, 64))
+    side -= (side * a).sum(axis=1, keepdims=True) * a
+    side /= np.sqrt((side * side).sum(axis=1, keepdims=True))
+    for k in (4, 10, 16):  # pairs at the very threshold meet; a key does not depend on its batch
+        b = 0.98 * a + (1 - 0.98**2) ** 0.5 * side
+        one, two = embedding_dedup.table_hashes(a, k), embedding_dedup.table_hashes(b, k)
+        assert (one == two).any(axis=1).mean() >= 0.999
+        assert all((embedding_dedup.table_hashes(a[i : i + 7], k) == one[i : i + 7]).all() for i in range(0, 400, 7))
+
+
+def test_projections_follow_the_label(spark):
+    sizes = spark.createDataFrame([(10**e,) for e in range(0, 10)], "n long")
+    got = [r[0] for r in sizes.orderBy("n").select(embedding_dedup.plan(F.col("n"), 0.98)).collect()]
+    far = embedding_dedup.agree(2**0.5, embedding_dedup.width_of(0.98))
+    assert got == sorted(got) and all(10**e * far**k <= 0.25 for e, k in enumerate(got))
+
+
 @pytest.mark.parametrize("rows", [1024, 8])
 def test_near_vectors(spark, monkeypatch, rows):
     monkeypatch.setattr(embedding_dedup, "BLOCK_ROWS", rows)
