@@ -7,17 +7,21 @@ lengths 1, 2, 4, ... would sort every byte of the corpus many times, so ranks ar
    it at the same place. Windows that follow each other and share an anchor form a run. The run's rank starts at the
    CORE bytes that all its windows share; Spark groups these ranks, and what is unique is done: nothing repeats.
 2. At the next offsets the rank is that of the run's whole string. Runs whose whole string is found again are past
-   the threshold: all their windows repeat.
-3. Only in the rest, where the core repeats and the whole does not, single windows are ranked: the strings of the
-   runs (with one stand-in for each whole found again) meet by core, and equal windows are counted.
-
-Steps 1 and 2 move a few numbers per 30 to 50 bytes of text; a core that is everywhere is counted map-side, and one
-with more than HOT runs is ranked by sums and joins, not by a window in one task. Step 3's groups are bounded: one of
-more than GROUP strings is dealt by window hash over as many tasks as it needs.
-All strings are compared by 128 bits of hash (core and whole, or two polynomials).
-
-Defined cases: null and empty texts have no bytes and lose none; texts shorter than the window lose none; a null
-doc_id is a document as any other; rows that repeat a doc_id are texts of their own (equal rows repeat each other);
+   the threshold: all their windows repeat, and one of them stands for all from here on.
+3. In the rest, where the core repeats and the whole does not, every position has a pair of ranks, those of the first
+   and of the last HALF bytes of its window. Spark deals positions by these pairs and counts equal ones: those are
+   equal windows, past the threshold; all others are unique.
+
+Steps 1 and 2 move a few numbers per 30 to 50 bytes of text, step 3 a few numbers for each position left. All counts
+are sums on the map side first, and counted ranks are tables of their own that meet the positions in joins whose
+partitions Spark can split: a core, a whole string or a window that is everywhere sits in no single task, and no
+task holds a group. Ranks are 64-bit hashes of their strings: two strings are compared by 128 bits (core and whole, or
+both halves), never by more.
+
+Defined cases: null and empty texts have no bytes and lose none; texts shorter than the window lose none; very long
+texts are hashed in parts that overlap by a window, each window in one part; a null doc_id is a document as any other;
+rows that repeat a doc_id are texts of their own (equal rows repeat each other), told apart by 64 bits of hash; of
+equal runs the least by doc_id, hash of the text and place stands for all, so a task that runs again decides alike;
 extra columns are ignored; an empty table gives an empty table.
 """
 
@@ -29,22 +33,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftwise.llm.blocks import map_groups
+from siftwise.llm.memory import released
 from siftwise.llm.sketches import BASE, BYTE_VALUE, mix
 from siftwise.plans.stages import save_stage
 
 CORE = 48
-#: Runs of one core that are ranked by a window; strings of one core that one task compares.
-HOT, GROUP = 20_000, 4_000
 #: Bytes hashed at once.
 CHUNK = 1 << 20
 PLACE_BITS = 24
-BASE_2 = np.uint64(0xD6E8FEB86659FD93)
 KEY = ["doc_id", "tag"]
-RUN = "doc_id long, tag int, core long, whole long, start int, n int"
+RUN = "doc_id long, tag long, core long, whole long, start int, n int"
 
 
 def _powers(n: int, base: np.uint64) -> np.ndarray:
@@ -128,24 +129,13 @@ def _runs(window: int, core: int):
 
 def _ranked(runs: DataFrame) -> DataFrame:
     """Runs with a repeated core, `same` (runs of equal whole), `least` (smallest `same` of the core) and `stand_in`."""
-    # a table of its own, so that Spark can split the partitions of a popular core in the join
-    cores = save_stage(runs.groupBy("core").agg(F.count("*").alias("many")).where("many > 1"), "cores")
-    joined = save_stage(runs.join(cores, "core"), "runs")
-    by_whole, by_core = Window.partitionBy("core", "whole", "n"), Window.partitionBy("core")
-    few = (
-        joined.where(F.col("many") <= HOT)
-        .repartition("core")  # one deal for all three windows
-        .withColumn("same", F.count("*").over(by_whole))
-        .withColumn("stand_in", F.row_number().over(by_whole.orderBy("start")) == 1)
-        .withColumn("least", F.min("same").over(by_core))
-    )
-    hot = joined.where(F.col("many") > HOT).withColumn("me", F.struct(F.xxhash64(*KEY), "start"))
-    wholes = hot.groupBy("core", "whole", "n").agg(F.count("*").alias("same"), F.min("me").alias("one"))
-    # a table of its own, so that Spark can split the partitions of a popular whole in the join
-    wholes = save_stage(wholes.join(wholes.groupBy("core").agg(F.min("same").alias("least")), "core"), "wholes")
-    many = hot.join(wholes, ["core", "whole", "n"]).withColumn("stand_in", F.col("me") == F.col("one"))
-    columns = [*KEY, "core", "start", "n", "same", "least", "stand_in"]
-    return few.select(*columns).unionByName(many.select(*columns))
+    # tables of their own, so that Spark can split the partitions of a popular core or whole in the joins
+    cores = save_stage(runs.groupBy("core").agg(F.count("*").alias("many")).where("many > 1").select("core"), "cores")
+    joined = save_stage(runs.join(cores, "core").withColumn("me", F.struct(*KEY, "start")), "repeated")
+    wholes = save_stage(joined.groupBy("core", "whole", "n").agg(F.count("*").alias("same"), F.min("me").alias("one")), "wholes")
+    least = save_stage(wholes.groupBy("core").agg(F.min("same").alias("least")), "least")
+    wholes = save_stage(wholes.join(least, "core"), "wholes")
+    return joined.join(wholes, ["core", "whole", "n"]).withColumn("stand_in", F.col("me").eqNullSafe(F.col("one"))).drop("me", "one")
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -161,66 +151,28 @@ def _unpacked(value: pa.Scalar) -> bytes:
     return zstandard.decompress(value.as_py())
 
 
-def _strings(window: int):
-    """The bytes of the runs to be compared, from each text and its list of runs."""
+def _windows(window: int):
+    """Every position of the runs to be compared, with the ranks of the first and the last half of its window."""
+    half = (window + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "tag", "core", "start", "weight", "bytes"]
+        names = ["doc_id", "tag", "start", "weight", "first", "last"]
         for batch in batches:
             for i in range(len(batch)):
                 probes = [r for r in batch.column(3)[i].as_py() if r["weight"] > 0]
                 if not probes:
                     continue
                 text = _unpacked(batch.column(2)[i])
-                columns = [[batch.column(0)[i].as_py()] * len(probes), [batch.column(1)[i].as_py()] * len(probes)]
-                kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-                columns += [[r[c] for r in probes] for c in ("core", "start", "weight")] + [[text[r["start"] : r["start"] + r["n"] + window - 1] for r in probes]]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
-    return run
-
-
-def _compare(window: int):
-    """Stretches of repeated windows in groups of runs with one core."""
-
-    def run(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(t))))
-        share, part = t.column("of").to_numpy(), t.column("part").to_numpy()
-        strings = t.column("bytes").to_pylist()
-        lengths = np.array([len(s) for s in strings])
-        n = lengths - window + 1
-        data = np.frombuffer(b"".join(strings), np.uint8)
-        row = np.repeat(np.arange(len(strings)), n)
-        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        begin = (np.cumsum(lengths) - lengths)[row] + place
-        one = _Hashes(data).of(begin, begin + window)
-        mine = one % share.astype(np.uint64)[row] == part.astype(np.uint64)[row]
-        row, place, begin, one = row[mine], place[mine], begin[mine], one[mine]
-        two = _Hashes(data, BASE_2).of(begin, begin + window)
-        key = one + group.astype(np.uint64)[row] * BASE_2
-        order = np.argsort(key)
-        new, differs = key[order][1:] != key[order][:-1], two[order][1:] != two[order][:-1]
-        if (differs & ~new).any():  # one hash agrees and the other does not
-            order = np.lexsort((two, key))
-            new, differs = key[order][1:] != key[order][:-1], two[order][1:] != two[order][:-1]
-        g = np.concatenate(([True], new | differs))[: len(order)]
-        number = np.cumsum(g) - 1
-        weight = t.column("weight").to_numpy()
-        total = np.bincount(number, weights=weight[row][order]) if len(g) else np.zeros(0)
-        found = np.zeros(len(row), bool)
-        found[order] = total[number] > 1
-        found &= weight[row] == 1  # stand-ins are known to repeat
-        at = np.flatnonzero(found)
-        if not len(at):
-            return
-        r, p = row[at], place[at]
-        first = np.concatenate(([True], (r[1:] != r[:-1]) | (p[1:] != p[:-1] + 1)))
-        lo = np.flatnonzero(first)
-        hi = np.append(lo[1:], len(at)) - 1
-        rows = pa.array(r[lo])
-        start = t.column("start").to_numpy()[r[lo]] + p[lo]
-        columns = [t.column("doc_id").take(rows).combine_chunks(), t.column("tag").take(rows).combine_chunks(), pa.array(start.astype(np.int32)), pa.array((p[hi] - p[lo] + 1).astype(np.int32))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "start", "n"])
+                doc_id, tag = batch.column(0).slice(i, 1), batch.column(1).slice(i, 1)
+                for k in range(0, len(probes), 1000):
+                    start, n, weight = (np.array([r[c] for r in probes[k : k + 1000]], np.int64) for c in ("start", "n", "weight"))
+                    low, place = np.cumsum(n + window - 1) - (n + window - 1), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                    hashes = _Hashes(np.frombuffer(b"".join(text[a : a + c + window - 1] for a, c in zip(start.tolist(), n.tolist(), strict=True)), np.uint8))
+                    at = np.repeat(low, n) + place
+                    ranks = [hashes.of(at, at + half), hashes.of(at + window - half, at + window)]
+                    one = pa.array(np.zeros(len(at), np.int64))
+                    columns = [doc_id.take(one), tag.take(one), pa.array((np.repeat(start, n) + place).astype(np.int32)), pa.array(np.repeat(weight, n).astype(np.int32)), *(pa.array(r.view(np.int64)) for r in ranks)]
+                    yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
@@ -241,18 +193,19 @@ def _cut(window: int):
             out: list[list] = [[], [], [], [], []]
             for i in range(len(batch)):
                 text = _unpacked(batch.column(2)[i])
-                places = [r for r in batch.column(3)[i].as_py() if r["weight"] <= 0] + (batch.column(4)[i].as_py() or [])
-                places += [r for r in batch.column(3)[i].as_py() if r["weight"] == 2]
-                if not places:
+                places, more = [r for r in batch.column(3)[i].as_py() if r["weight"] != 1], batch.column(4)[i].values
+                more = np.zeros(0, np.int64) if more is None else more.to_numpy(zero_copy_only=False).astype(np.int64)
+                start = np.concatenate((np.array([r["start"] for r in places], np.int64), more))
+                if not len(start):
                     continue
-                start = np.array([r["start"] for r in places])
-                spans = _merge(start, start + np.array([r["n"] for r in places]) + window - 1)
+                n = np.concatenate((np.array([r["n"] for r in places], np.int64), np.ones(len(more), np.int64)))
+                spans = _merge(start, start + n + window - 1)
                 edges = [0, *[x for s in spans for x in s], len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
                 values = batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), [{"start": a, "stop": b} for a, b in spans], sum(b - a for a, b in spans), hashlib.sha256(kept).hexdigest()
                 for c, v in zip(out, values, strict=True):
                     c.append(v)
-            kinds = [pa.int64(), pa.int32(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.int64(), pa.string()]
+            kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names)
 
     return run
@@ -260,24 +213,23 @@ def _cut(window: int):
 
 def repeated_spans(docs: DataFrame, window: int = 200, core: int = CORE) -> DataFrame:
     """doc_id, tag, spans (start, stop in bytes), n_removed, kept_sha256 of the texts that lose bytes; tag tells rows of one doc_id apart."""
-    texts = docs.select("doc_id", F.hash("text").alias("tag"), "text")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("tag"), "text")
     if not 0 < core <= window:
         raise ValueError("core must be in 1 ... window")
-    runs = texts.where(F.octet_length("text") >= window).mapInArrow(_runs(window, core), RUN)
+    # hashed once: ranks are counted, then joined
+    runs = save_stage(texts.where(F.octet_length("text") >= window).mapInArrow(released(_runs(window, core)), RUN), "runs")
     # weight 0: repeats as a whole; 2: the same, and stands for it in its core's group; 1: to be compared
     weight = F.when(F.col("same") == 1, 1).when(F.col("stand_in") & (F.col("least") == 1), 2).otherwise(0)
-    by_text = _ranked(runs).groupBy(*KEY).agg(F.collect_list(F.struct(F.when(weight > 0, F.col("core")).alias("core"), "start", "n", weight.alias("weight"))).alias("runs"))
+    by_text = _ranked(runs).groupBy(*KEY).agg(F.collect_list(F.struct("start", "n", weight.alias("weight"))).alias("runs"))
     # equal rows have equal keys: joined once each
-    packed = texts.where(F.octet_length("text") >= window).mapInArrow(_packed, "doc_id long, tag int, packed binary")
+    packed = texts.where(F.octet_length("text") >= window).mapInArrow(released(_packed), "doc_id long, tag long, packed binary")
     touched = save_stage(_null_safe(packed, by_text), "touched")
 
-    strings = touched.mapInArrow(_strings(window), "doc_id long, tag int, core long, start int, weight int, bytes binary")
-    strings = save_stage(strings, "strings")
-    sizes = strings.groupBy("core").agg(F.ceil(F.count("*") / GROUP).cast("int").alias("of"))
-    dealt = strings.join(sizes, "core").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
-    found = map_groups(dealt, ["core", "part"], _compare(window), "doc_id long, tag int, start int, n int")
-    more = found.groupBy(*KEY).agg(F.collect_list(F.struct("start", "n")).alias("more"))
-    return _null_safe(touched, more, "left").mapInArrow(_cut(window), "doc_id long, tag int, spans array<struct<start:int,stop:int>>, n_removed long, kept_sha256 string")
+    positions = touched.mapInArrow(released(_windows(window)), "doc_id long, tag long, start int, weight int, first long, last long")
+    ranks = save_stage(positions.groupBy("first", "last").agg(F.sum("weight").alias("same")).where("same > 1").select("first", "last"), "ranks")
+    found = positions.where("weight = 1").join(ranks, ["first", "last"])  # stand-ins are known to repeat
+    more = found.groupBy(*KEY).agg(F.collect_list("start").alias("more"))
+    return _null_safe(touched, more, "left").mapInArrow(released(_cut(window)), "doc_id long, tag long, spans array<struct<start:int,stop:int>>, n_removed long, kept_sha256 string")
 
 
 def _null_safe(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
@@ -288,7 +240,7 @@ def _null_safe(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFra
 def dedup_substrings(docs: DataFrame, window: int = 200, core: int = CORE) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row of docs(doc_id, text)."""
     cut = repeated_spans(docs, window, core).dropDuplicates(KEY)
-    every = docs.select("doc_id", F.hash("text").alias("tag"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole_sha256"))
+    every = docs.select("doc_id", F.xxhash64("text").alias("tag"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("whole_sha256"))
     return _null_safe(every, cut, "left").select(
         "doc_id",
         "n_bytes",
