@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 
@@ -87,7 +88,7 @@ def brute_leaks(docs, items, at_least=0.8):
         w = tok(t)
         for d, s in docs:
             v = tok(s)
-            found = [sum(a == b for a, b in zip(w, v[k:], strict=False)) for k in range(len(v))] if len(w) >= 5 else []
+            found = [sum(a == b for a, b in zip(w[max(-k, 0) :], v[max(k, 0) :], strict=False)) for k in range(-len(w), len(v))] if w else []
             if any(n >= at_least * len(w) for n in found):
                 out[d, i] = max(out.get((d, i), 0), max(found) / len(w))
     return {(*k, round(v, 9)) for k, v in out.items()}
@@ -98,8 +99,8 @@ def test_decontamination(spark, monkeypatch, bound):
     monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", bound)
     rng = random.Random(7)
     words = [f"w{i}" for i in range(500)]
-    items = [(i, " ".join(rng.choices(words, k=rng.randint(10, 40)))) for i in range(25)] + [(25, None), (26, ""), (27, "a b c d"), (28, "a b c d e"), (None, "p q r s t u"), (3, "w1 w2 w3 w4 w5 w6")]
-    docs = [(i, " ".join(rng.choices(words, k=rng.randint(0, 200)))) for i in range(60)] + [(60, None), (61, ""), (62, "A, b c:"), (63, "A, b c: d E!"), (None, "p q r s t u")]
+    items = [(i, " ".join(rng.choices(words, k=rng.randint(10, 40)))) for i in range(25)] + [(25, None), (26, ""), (27, "a b c d"), (28, "a b c d e"), (None, "p q r s t u"), (3, "w1 w2 w3 w4 w5 w6"), (29, "Zz")]
+    docs = [(i, " ".join(rng.choices(words, k=rng.randint(0, 200)))) for i in range(60)] + [(60, None), (61, ""), (62, "A, b c:"), (63, "A, b c: d E!"), (64, "x zz y a b c d"), (65, "zz " * 3000), (None, "p q r s t u")]
     for d in range(100, 160):
         w = rng.choice(items[:25])[1].split()
         for k in rng.sample(range(len(w)), int(len(w) * rng.choice([0, 0.1, 0.2, 0.3]))):
@@ -137,5 +138,33 @@ def test_decontamination_of_cut_items(spark):
     assert {r["doc_id"] for r in decontamination.drop_contaminated(a, b).collect()} == {d for d, _ in docs} - {d for d, *_ in want}
 
 
+def test_masks_meet_all_placements():
+    for n in range(8, 16):
+        seen = [{p + o for o in m} for m in decontamination.MASKS for p in range(n - m[-1])]
+        for gone in itertools.combinations(range(n), n // 5):
+            assert any(not s & set(gone) for s in seen), (n, gone)
+    for n in range(1, 8):
+        for gone in itertools.combinations(range(n), n // 5):
+            assert any(not set(m) & set(gone) for m in decontamination.short_masks(n)), (n, gone)
+
+
+def test_decontamination_of_all_lengths(spark):
+    rng = random.Random(13)
+    items = [(n, [f"i{n}t{k}" for k in range(n)]) for n in range(1, 41)]
+    docs, want = [], set()
+    for n, w in items:
+        places = [()] + list(itertools.combinations(range(n), 1)) + [tuple(rng.sample(range(n), s)) for s in range(2, n // 5 + 2) for _ in range(6)]
+        for part, gone in enumerate(places):
+            v = ["other" if k in gone else x for k, x in enumerate(w)]
+            d = n * 1000 + part
+            docs.append((d, " ".join(["before", *v, "after"])))
+            if len(gone) <= n // 5:
+                want.add((d, n, 1, n - len(gone), n))
+    a, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
+    assert {tuple(r) for r in decontamination.overlaps(a, b).collect()} == want
+    with pytest.raises(ValueError, match="masks"):
+        decontamination.overlaps(a, b, 0.5)
+
+
 def test_kept_hash(spark):
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0]
