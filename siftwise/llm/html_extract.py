@@ -11,7 +11,8 @@ parent's weight (length times fused ratio), down to an article or to where no si
 is the element's own. The chosen container is kept with its headings and lists, whatever their own ratios, but for what weighs nothing by its markup and,
 outside articles, inner containers of links.
 
-Defined cases: a null or empty page has the text ""; broken markup (unclosed or stray tags, unclosed comments) is
+Defined cases: a null or empty page has the text ""; a very long page is read whole, in time and memory that grow with
+its length whatever its depth (paths are numbered); of containers that tie, the first is taken; broken markup (unclosed or stray tags, unclosed comments) is
 read as far as it goes; a row stands alone, so repeated rows are equal and null ids or urls are returned as they are;
 columns text and n_chars are replaced, other columns stay; an empty table gives an empty table.
 """
@@ -38,6 +39,8 @@ BLOCK = frozenset(
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: An open element of the first kind ends where one of the second begins.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option", "optgroup"}}
+#: The same by what begins: a block also ends an open paragraph, and a heading a heading.
+ENDED_BY = {b: ("p", *(t for t, starts in ENDS.items() if b in starts), *(HEADINGS if b in HEADINGS else ())) for b in BLOCK}
 #: What keeps an end tag or an implied end inside.
 FENCES = frozenset("table td th ul ol dl article aside section body button caption".split())
 OUT = frozenset("script style textarea title noscript template iframe head nav footer aside form button select input dialog menu object svg canvas audio video map label datalist search".split())
@@ -76,12 +79,41 @@ def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
     return False
 
 
-def nodes_of(page: str) -> tuple[list[tuple[int, str, bool, bool, bool, int, str]], list[tuple[int, str]]]:
-    """Text nodes in order: block number, tag path, unwanted, inside an article, inside a link, container, text; and
-    the containers: parent's number and tag, the page itself being number 0."""
+class _Open:
+    """Open elements, with the places of each tag and of fences among them: depth costs neither time nor memory."""
+
+    def __init__(self):
+        #: tag, path number, unwanted, inside an article, inside a link, container
+        self.stack: list[tuple[str, int, bool, bool, bool, int]] = [("", 0, False, False, False, 0)]
+        self.places: dict[str, list[int]] = {}
+        self.fences = [0]
+
+    def push(self, element: tuple[str, int, bool, bool, bool, int]) -> None:
+        self.places.setdefault(element[0], []).append(len(self.stack))
+        if element[0] in FENCES:
+            self.fences.append(len(self.stack))
+        self.stack.append(element)
+
+    def last(self, tag: str) -> int:
+        places = self.places.get(tag)
+        return places[-1] if places else 0
+
+    def close(self, k: int) -> None:
+        """End the element at place k and all inside it."""
+        while len(self.stack) > k:
+            self.places[self.stack.pop()[0]].pop()
+        while self.fences[-1] >= k:
+            self.fences.pop()
+
+
+def nodes_of(page: str) -> tuple[list[tuple[int, int, bool, bool, bool, int, str]], list[tuple[int, str]]]:
+    """Text nodes in order: block number, number of the tag path, unwanted, inside an article, inside a link, container,
+    text; and the containers: parent's number and tag, the page itself being number 0."""
     out = []
     containers = [(-1, "")]
-    stack: list[tuple[str, str, bool, bool, bool, int]] = [("", "", False, False, False, 0)]
+    paths: dict[tuple[int, str], int] = {}
+    open_ = _Open()
+    stack = open_.stack
     block, at = 0, 0
     while m := TOKEN.match(page, at):
         at = m.end()
@@ -103,25 +135,19 @@ def nodes_of(page: str) -> tuple[list[tuple[int, str, bool, bool, bool, int, str
         if tag in BLOCK:
             block += 1
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
-                if stack[k][0] in FENCES and tag not in BLOCK:
-                    break
+            k = open_.last(tag)
+            if k and (tag in BLOCK or k >= open_.fences[-1]):
+                open_.close(k)
             continue
         if tag == "br":
             out.append((block, *stack[-1][1:], " "))
         if tag in VOID:
             continue
         if tag in BLOCK and tag != "body":
-            ends = {t for t, starts in ENDS.items() if tag in starts}
-            for k in range(len(stack) - 1, 0, -1):  # a block ends an open paragraph or heading, and like parts end each other
-                if stack[k][0] == "p" or stack[k][0] in ends or (tag in HEADINGS and stack[k][0] in HEADINGS):
-                    del stack[k:]
-                    break
-                if stack[k][0] in FENCES:
-                    break
+            # a block ends an open paragraph or heading, and like parts end each other
+            k = max(map(open_.last, ENDED_BY.get(tag, ("p",))))
+            if k and k >= open_.fences[-1]:
+                open_.close(k)
         _, path, unwanted, in_article, in_link, container = stack[-1]
         unwanted = unwanted or _unwanted(tag, m[3], in_article)
         if tag in RAW and not m[3].endswith("/"):
@@ -133,7 +159,8 @@ def nodes_of(page: str) -> tuple[list[tuple[int, str, bool, bool, bool, int, str
         if tag in CONTAINERS:
             containers.append((container, tag))
             container = len(containers) - 1
-        stack.append((tag, f"{path}/{tag}", unwanted, in_article or tag in ARTICLE, in_link or tag == "a", container))
+        path = paths.setdefault((path, tag), len(paths) + 1)
+        open_.push((tag, path, unwanted, in_article or tag in ARTICLE, in_link or tag == "a", container))
     return out, containers
 
 
@@ -154,7 +181,7 @@ def container_of(containers: list[tuple[int, str]], weight: np.ndarray, own: np.
 
 def main_text(page: str | None, smooth: int = 1, spread: float = 0.5, share: float = 0.8) -> str:
     nodes, containers = nodes_of(page or "")
-    order: dict[tuple[str, bool], int] = {}
+    order: dict[tuple[int, bool], int] = {}
     for _, path, unwanted, *_ in nodes:
         order.setdefault((path, unwanted), len(order))
     n, chars, marks, linked, inside = (np.zeros(len(order)) for _ in range(5))

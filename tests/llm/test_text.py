@@ -1,10 +1,11 @@
 import zlib
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
 
 from siftwise.llm import html_extract, toxicity
-from siftwise.llm.queries_text import op8_toxicity
+from siftwise.llm.queries_text import op2_html_extraction, op8_toxicity
 
 PAGES = [
     ("<html><body><nav><a>Home</a></nav><article><h1>A &amp; B</h1><p><b>One  two<br>three<p>Four\n five</article><footer>x</footer>", "A & B One two three Four five"),
@@ -57,6 +58,68 @@ def test_content_container(page, want):
     assert html_extract.main_text(page) == want
 
 
+def test_ratios_and_threshold_decide():
+    """Without a mark-up hint the path of long, punctuated text is chosen; a threshold above it leaves nothing."""
+    page = f"<body><div><span>Home</span> <span>News</span> <span>About us</span></div><div><div>{BODY}</div></div><div><b>Top</b> <b>Up</b></div></body>"
+    assert html_extract.main_text(page) == STORY
+    assert html_extract.main_text(page, spread=50.0) == ""
+    # two candidates: only the threshold drops the weaker one's path from the count that chooses the container
+    weak = "<div>" + "<i>Some words that go on for a while and then</i> <u>more words that go on for a while</u> " * 12 + "</div>"
+    strong = "<section>" + "<p>A longer sentence, with marks; it counts for more.</p>" * 3 + "</section>"
+    low, high = (html_extract.main_text(f"<body><div>{weak}{strong}</div></body>", spread=s) for s in (0.0, 1.5))
+    assert "Some words" in low and "Some words" not in high and "longer sentence" in high
+
+
+def test_deep_pages_stay_small():
+    import time
+    import tracemalloc
+
+    for page in ("<b>" * 100_000 + "text, at last.", "<p><table>" + "<b>" * 20_000 + "<div>x" * 20_000, "<p>" + "<b>" * 50_000 + "</i>" * 50_000):
+        tracemalloc.start()
+        start = time.time()
+        html_extract.main_text(page)
+        assert tracemalloc.get_traced_memory()[1] < 200e6 and time.time() - start < 60
+        tracemalloc.stop()
+
+
+class Plain(HTMLParser):
+    """Text of articles by Python's own parser: the plain second way for well-formed test pages."""
+
+    def __init__(self):
+        super().__init__()
+        self.inside = self.skip = 0
+        self.blocks = [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside += tag == "article"
+        self.skip += tag in ("script", "style", "aside", "nav", "form")
+        if tag in ("p", "h1", "h2", "li", "ul", "div", "article", "br"):
+            self.blocks.append("")
+
+    def handle_endtag(self, tag):
+        self.inside -= tag == "article"
+        self.skip -= tag in ("script", "style", "aside", "nav", "form")
+        if tag in ("p", "h1", "h2", "li", "ul", "div", "article"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside and not self.skip:
+            self.blocks[-1] += data
+
+
+def test_query_agrees_with_a_plain_parser(spark):
+    d = "/root/testdata/sf0.01"
+    got = {r["page_id"]: r for r in op2_html_extraction(spark, d).collect()}
+    pages = spark.read.parquet(f"{d}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for page in pages:
+        plain = Plain()
+        plain.feed(page["html"])
+        plain.close()
+        want = " ".join(x for x in (" ".join(b.split()) for b in plain.blocks) if x)
+        assert got[page["page_id"]]["text"] == want and got[page["page_id"]]["n_chars"] == len(want) and got[page["page_id"]]["url"] == page["url"]
+
+
 def sentences():
     clean = [f"the {a} person went to the {b} and read a book about {c}" for a in ("old", "tall", "kind", "quiet") for b in ("park", "house", "lake", "shop") for c in ("birds", "trees", "music", "maps")]
     mean = [f"you {a} {b} go away from the {c}" for a in ("stupid", "awful", "vile") for b in ("fool", "liar", "pest", "creep") for c in ("park", "house", "lake")]
