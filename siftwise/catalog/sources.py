@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,16 +10,12 @@ from siftwise.catalog.registry import query
 from siftwise.functions.scalar import content_hash
 from siftwise.operators import keyed
 from siftwise.operators.vectors import lists_of
-from siftwise.plans.stages import shared_dir, table
+from siftwise.plans.stages import fresh_path as fresh
+from siftwise.plans.stages import table
 from siftwise.sources import codecs, tables
 from siftwise.sources.store import StageStore
 
 
-def fresh(spark, name):
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def day(n, month=1):
     return datetime.datetime(2024, month, n)
 

@@ -35,14 +35,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{own}"
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing else uses; what is written there goes when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    fs, where = _filesystem(spark, path)
+    fs.deleteOnExit(where)
+    return path
+
+
 def save_stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write df once to the shared folder and read it back: lineage ends there, so a lost executor costs a re-read only."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stage_path = path
-    _filesystem(spark, path)[0].deleteOnExit(_filesystem(spark, path)[1])
     return out
 
 
