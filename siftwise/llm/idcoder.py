@@ -7,7 +7,9 @@ confidence and one picked by the order's recent hits; "which order is right, or
 none predicts is coded by adaptive order-0 tables for its two high nibbles and evenly for its low byte. All arithmetic is
 in integers, so any machine decodes what another wrote.
 
-A stream is, for each block: ids, words and crc32 of the ids (little-endian unsigned 32-bit each), then the words.
+A stream is, for each block: ids, words and crc32 of the ids (little-endian unsigned 32-bit each), then the words. Lanes
+hold 16-bit numbers: a block with larger ids (up to 32 bits) is marked WIDE and is two lanes, the low halves and, behind a
+header of their own, the high halves, which hardly change and so cost little.
 """
 
 from __future__ import annotations
@@ -19,8 +21,8 @@ import numpy as np
 
 BLOCK = 2048
 SLOTS_1, SLOTS_2 = 512, 1024
-#: Ids are 16-bit.
-ID_LIMIT = 1 << 16
+#: A lane's numbers, and ids; the mark of a block that has two lanes.
+LANE_LIMIT, ID_LIMIT, WIDE = 1 << 16, 1 << 32, 1 << 31
 HEADER = struct.Struct("<III")
 ONE = 1 << 16
 U64 = np.uint64
@@ -236,45 +238,54 @@ def _run(lanes: _Lanes, counts: np.ndarray, ids: np.ndarray | None) -> np.ndarra
 def encode(streams: list[np.ndarray]) -> list[bytes]:
     """Each stream of ids as bytes; streams share the lanes, not their blocks."""
     blocks = [(s, x[k : k + BLOCK]) for s, x in enumerate(streams) for k in range(0, len(x), BLOCK)]
-    blocks = [(s, k, x) for k, (s, x) in enumerate(blocks)]
     out: list[list[bytes]] = [[] for _ in streams]
     if not blocks:
         return [b""] * len(streams)
-    if max(int(x.max()) for _, _, x in blocks) >= ID_LIMIT or min(int(x.min()) for _, _, x in blocks) < 0:
+    if max(int(x.max()) for _, x in blocks) >= ID_LIMIT or min(int(x.min()) for _, x in blocks) < 0:
         raise ValueError(f"ids must be in 0 ... {ID_LIMIT - 1}")
-    order = sorted(blocks, key=lambda b: -len(b[2]))
-    counts = np.array([len(x) for _, _, x in order])
+    halves = []
+    for number, (_, x) in enumerate(blocks):
+        wide = int(x.max()) >= LANE_LIMIT
+        halves += [(number, half) for half in ((x & (LANE_LIMIT - 1), x >> 16) if wide else (x,))]
+    order = sorted(range(len(halves)), key=lambda h: -len(halves[h][1]))
+    counts = np.array([len(halves[h][1]) for h in order])
     ids = np.zeros((counts[0], len(order)), np.int32)
-    for row, (_, _, x) in enumerate(order):
-        ids[: len(x), row] = x
+    for row, h in enumerate(order):
+        ids[: counts[row], row] = halves[h][1]
     lanes = _Encoder(len(order))
     _run(lanes, counts, ids)
-    coded = sorted(((s, k, x, w) for (s, k, x), w in zip(order, lanes.finish(), strict=True)), key=lambda b: b[1])
-    for s, _, x, words in coded:
-        out[s].append(HEADER.pack(len(x), len(words) // 4, zlib.crc32(np.asarray(x).astype("<u4").tobytes())) + words)
+    words = dict(zip(order, lanes.finish(), strict=True))
+    for h, (number, _) in enumerate(halves):
+        s, x = blocks[number]
+        wide = h + 1 < len(halves) and halves[h + 1][0] == number
+        out[s].append(HEADER.pack(len(x) | (WIDE if wide else 0), len(words[h]) // 4, zlib.crc32(np.asarray(x).astype("<u4").tobytes())) + words[h])
     return [b"".join(x) for x in out]
 
 
 def decode(streams: list[bytes]) -> list[np.ndarray]:
     """The ids of each stream; a block whose checksum fails raises ValueError."""
-    blocks = []
+    lanes = []
     for s, data in enumerate(streams):
-        at = 0
+        at, high = 0, False
         while at < len(data):
             n, words, crc = HEADER.unpack_from(data, at)
             at += HEADER.size
-            blocks.append((s, len(blocks), n, crc, data[at : at + 4 * words]))
+            lanes.append((s, high, n & ~WIDE, crc, data[at : at + 4 * words]))
             at += 4 * words
-    if not blocks:
+            high = bool(n & WIDE)
+    if not lanes:
         return [np.zeros(0, np.int64) for _ in streams]
-    order = sorted(blocks, key=lambda b: -b[2])
-    ids = _run(_Decoder([b[4] for b in order]), np.array([b[2] for b in order]), None)
+    order = sorted(range(len(lanes)), key=lambda h: -lanes[h][2])
+    ids = _run(_Decoder([lanes[h][4] for h in order]), np.array([lanes[h][2] for h in order]), None)
+    row = {h: r for r, h in enumerate(order)}
     out: list[list[np.ndarray]] = [[] for _ in streams]
-    rows = sorted(range(len(order)), key=lambda r: order[r][1])
-    for r in rows:
-        s, k, n, crc, _ = order[r]
-        x = ids[:n, r].astype(np.int64)
-        if zlib.crc32(x.astype("<u4").tobytes()) != crc:
-            raise ValueError(f"checksum of block {k} fails")
-        out[s].append(x)
+    for h, (s, high, n, crc, _) in enumerate(lanes):
+        x = ids[:n, row[h]].astype(np.int64)
+        if high:
+            out[s][-1] |= x << 16
+        else:
+            out[s].append(x)
+        if h + 1 == len(lanes) or not lanes[h + 1][1]:  # the block is whole
+            if zlib.crc32(out[s][-1].astype("<u4").tobytes()) != crc:
+                raise ValueError(f"checksum of lane {h} fails")
     return [np.concatenate(x) if x else np.zeros(0, np.int64) for x in out]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import public_tokenizers
@@ -14,19 +13,23 @@ from pyspark.sql import functions as F
 from siftwise.llm import token_files
 from siftwise.llm.bpe import PrefixBPE, shared
 from siftwise.llm.memory import released
-from siftwise.plans.stages import shared_dir, table
+from siftwise.plans.stages import fresh_path, table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    out = fresh_path(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), out, public_tokenizers.path(TOKENIZER))
     return token_files.read_token_files(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def bpe_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of docs(doc_id, text)."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row of docs(doc_id, text).
+
+    A row stands alone: rows that repeat are all returned, a null or empty text has no ids, a very long one is encoded
+    whole; other columns, whatever their names, are ignored; an empty table gives an empty table.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = shared(PrefixBPE, tokenizer_path)

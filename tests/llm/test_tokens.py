@@ -79,7 +79,11 @@ def test_coder():
     with pytest.raises(ValueError, match="checksum"):
         idcoder.decode([coded[6][:40] + bytes([coded[6][40] ^ 1]) + coded[6][41:]])
     with pytest.raises(ValueError, match="ids must"):
-        idcoder.encode([np.array([1 << 16])])
+        idcoder.encode([np.array([1 << 32])])
+    # ids of larger vocabularies: marked blocks of two lanes, between others
+    wide = [rng.integers(0, 200_000, 5000), np.array([65535, 65536, (1 << 32) - 1, 0]), skewed, np.concatenate((np.zeros(2048, int), rng.integers(0, 128_256, 100)))]
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(wide, idcoder.decode(idcoder.encode(wide)), strict=True))
+    assert idcoder.encode([wide[2]])[0] == coded[6]
     assert idcoder.encode([]) == [] and idcoder.decode([]) == []
 
 
