@@ -52,14 +52,15 @@ def map_groups(df: DataFrame, key: list[str], fn: Callable[[pa.Table, np.ndarray
             for k in range(0, len(batch), 1000):
                 held.append(batch.slice(k, 1000))
                 n_bytes += held[-1].nbytes
-                if n_bytes < max_bytes:
+                # rows are sorted: with equal keys at both ends all that is held is one group, which may go on
+                if n_bytes < max_bytes or all(held[0].column(c)[0] == held[-1].column(c)[len(held[-1]) - 1] for c in key):
                     continue
                 t = pa.Table.from_batches(held).combine_chunks()
                 starts = first_rows(t)
-                if len(starts) > 1:  # the last group may go on
-                    yield from fn(t.slice(0, starts[-1]).combine_chunks(), starts[:-1])
-                    held = t.slice(starts[-1]).to_batches()
-                    n_bytes = sum(b.nbytes for b in held)
+                # the last group may go on
+                yield from fn(t.slice(0, starts[-1]).combine_chunks(), starts[:-1])
+                held = t.slice(starts[-1]).to_batches()
+                n_bytes = sum(b.nbytes for b in held)
         if held:
             t = pa.Table.from_batches(held).combine_chunks()
             if len(t):

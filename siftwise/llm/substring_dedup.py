@@ -8,15 +8,15 @@ lengths 1, 2, 4, ... would sort every byte of the corpus many times, so ranks ar
    CORE bytes that all its windows share; Spark groups these ranks, and what is unique is done: nothing repeats.
 2. At the next offsets the rank is that of the run's whole string. Runs whose whole string is found again are past
    the threshold: all their windows repeat, and one of them stands for all from here on.
-3. In the rest, where the core repeats and the whole does not, every position has a pair of ranks, those of the first
-   and of the last HALF bytes of its window. Spark deals positions by these pairs and counts equal ones: those are
-   equal windows, past the threshold; all others are unique.
+3. In the rest, where the core repeats and the whole does not, single windows are ranked. A core of GROUP strings at
+   most is compared in one task. Around a more popular core every position has a pair of ranks, those of the first
+   and of the last half of its window; Spark deals positions by these pairs and counts equal ones. Windows found
+   again are past the threshold, all others are unique; both ways give the same.
 
-Steps 1 and 2 move a few numbers per 30 to 50 bytes of text, step 3 a few numbers for each position left. All counts
-are sums on the map side first, and counted ranks are tables of their own that meet the positions in joins whose
-partitions Spark can split: a core, a whole string or a window that is everywhere sits in no single task, and no
-task holds a group. Ranks are 64-bit hashes of their strings: two strings are compared by 128 bits (core and whole, or
-both halves), never by more.
+Steps 1 and 2 move a few numbers per 30 to 50 bytes of text. All counts are sums on the map side first, and counted
+ranks are tables of their own that meet runs or positions in joins whose partitions Spark can split: a core, a whole
+string or a window that is everywhere sits in no single task, and no task holds more than GROUP strings of a core.
+Strings are compared by 128 bits of hash (core and whole, two halves, or two polynomials), never by more.
 
 Defined cases: null and empty texts have no bytes and lose none; texts shorter than the window lose none; very long
 texts are hashed in parts that overlap by a window, each window in one part; a null doc_id is a document as any other;
@@ -36,14 +36,17 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftwise.llm.blocks import map_groups
 from siftwise.llm.memory import released
 from siftwise.llm.sketches import BASE, BYTE_VALUE, mix
 from siftwise.plans.stages import save_stage
 
 CORE = 48
-#: Bytes hashed at once.
+#: Strings of one core that one task compares; bytes hashed at once.
+GROUP = 4_000
 CHUNK = 1 << 20
 PLACE_BITS = 24
+BASE_2 = np.uint64(0xD6E8FEB86659FD93)
 KEY = ["doc_id", "tag"]
 RUN = "doc_id long, tag long, core long, whole long, start int, n int"
 
@@ -151,28 +154,85 @@ def _unpacked(value: pa.Scalar) -> bytes:
     return zstandard.decompress(value.as_py())
 
 
-def _windows(window: int):
-    """Every position of the runs to be compared, with the ranks of the first and the last half of its window."""
-    half = (window + 1) // 2
+def _strings(window: int):
+    """The bytes of the runs to be compared, from each text and its list of runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "tag", "start", "weight", "first", "last"]
+        names = ["doc_id", "tag", "core", "start", "weight", "bytes"]
         for batch in batches:
             for i in range(len(batch)):
                 probes = [r for r in batch.column(3)[i].as_py() if r["weight"] > 0]
                 if not probes:
                     continue
                 text = _unpacked(batch.column(2)[i])
-                doc_id, tag = batch.column(0).slice(i, 1), batch.column(1).slice(i, 1)
-                for k in range(0, len(probes), 1000):
-                    start, n, weight = (np.array([r[c] for r in probes[k : k + 1000]], np.int64) for c in ("start", "n", "weight"))
-                    low, place = np.cumsum(n + window - 1) - (n + window - 1), np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    hashes = _Hashes(np.frombuffer(b"".join(text[a : a + c + window - 1] for a, c in zip(start.tolist(), n.tolist(), strict=True)), np.uint8))
-                    at = np.repeat(low, n) + place
-                    ranks = [hashes.of(at, at + half), hashes.of(at + window - half, at + window)]
-                    one = pa.array(np.zeros(len(at), np.int64))
-                    columns = [doc_id.take(one), tag.take(one), pa.array((np.repeat(start, n) + place).astype(np.int32)), pa.array(np.repeat(weight, n).astype(np.int32)), *(pa.array(r.view(np.int64)) for r in ranks)]
-                    yield pa.RecordBatch.from_arrays(columns, names)
+                columns = [[batch.column(0)[i].as_py()] * len(probes), [batch.column(1)[i].as_py()] * len(probes)]
+                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+                columns += [[r[c] for r in probes] for c in ("core", "start", "weight")] + [[text[r["start"] : r["start"] + r["n"] + window - 1] for r in probes]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    return run
+
+
+def _windows(window: int):
+    """Every position of the strings, with the ranks of the first and the last half of its window."""
+    half = (window + 1) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, len(batch), 500):
+                part = batch.slice(k, 500)
+                strings = part.column("bytes").to_pylist()
+                lengths = np.array([len(x) for x in strings])
+                n = lengths - window + 1
+                place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                hashes, at = _Hashes(np.frombuffer(b"".join(strings), np.uint8)), np.repeat(np.cumsum(lengths) - lengths, n) + place
+                ranks = [hashes.of(at, at + half), hashes.of(at + window - half, at + window)]
+                rows = pa.array(np.repeat(np.arange(len(part)), n))
+                start = np.repeat(part.column("start").to_numpy(), n) + place
+                columns = [part.column("doc_id").take(rows), part.column("tag").take(rows), pa.array(start.astype(np.int32)), part.column("weight").take(rows), *(pa.array(r.view(np.int64)) for r in ranks)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "start", "weight", "first", "last"])
+
+    return run
+
+
+def _compare(window: int):
+    """Stretches of repeated windows in groups of runs with one core."""
+
+    def run(t: pa.Table, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        group = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(t))))
+        strings = t.column("bytes").to_pylist()
+        lengths = np.array([len(s) for s in strings])
+        n = lengths - window + 1
+        data = np.frombuffer(b"".join(strings), np.uint8)
+        row = np.repeat(np.arange(len(strings)), n)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+        begin = (np.cumsum(lengths) - lengths)[row] + place
+        one = _Hashes(data).of(begin, begin + window)
+        two = _Hashes(data, BASE_2).of(begin, begin + window)
+        key = one + group.astype(np.uint64)[row] * BASE_2
+        order = np.argsort(key)
+        new, differs = key[order][1:] != key[order][:-1], two[order][1:] != two[order][:-1]
+        if (differs & ~new).any():  # one hash agrees and the other does not
+            order = np.lexsort((two, key))
+            new, differs = key[order][1:] != key[order][:-1], two[order][1:] != two[order][:-1]
+        g = np.concatenate(([True], new | differs))[: len(order)]
+        number = np.cumsum(g) - 1
+        weight = t.column("weight").to_numpy()
+        total = np.bincount(number, weights=weight[row][order]) if len(g) else np.zeros(0)
+        found = np.zeros(len(row), bool)
+        found[order] = total[number] > 1
+        found &= weight[row] == 1  # stand-ins are known to repeat
+        at = np.flatnonzero(found)
+        if not len(at):
+            return
+        r, p = row[at], place[at]
+        first = np.concatenate(([True], (r[1:] != r[:-1]) | (p[1:] != p[:-1] + 1)))
+        lo = np.flatnonzero(first)
+        hi = np.append(lo[1:], len(at)) - 1
+        rows = pa.array(r[lo])
+        start = t.column("start").to_numpy()[r[lo]] + p[lo]
+        columns = [t.column("doc_id").take(rows).combine_chunks(), t.column("tag").take(rows).combine_chunks(), pa.array(start.astype(np.int32)), pa.array((p[hi] - p[lo] + 1).astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "start", "n"])
 
     return run
 
@@ -194,11 +254,9 @@ def _cut(window: int):
             for i in range(len(batch)):
                 text = _unpacked(batch.column(2)[i])
                 places, more = [r for r in batch.column(3)[i].as_py() if r["weight"] != 1], batch.column(4)[i].values
-                more = np.zeros(0, np.int64) if more is None else more.to_numpy(zero_copy_only=False).astype(np.int64)
-                start = np.concatenate((np.array([r["start"] for r in places], np.int64), more))
+                start, n = (np.concatenate((np.array([r[c] for r in places], np.int64), more.field(c).to_numpy() if more is not None else [])).astype(np.int64) for c in ("start", "n"))
                 if not len(start):
                     continue
-                n = np.concatenate((np.array([r["n"] for r in places], np.int64), np.ones(len(more), np.int64)))
                 spans = _merge(start, start + n + window - 1)
                 edges = [0, *[x for s in spans for x in s], len(text)]
                 kept = b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
@@ -220,15 +278,19 @@ def repeated_spans(docs: DataFrame, window: int = 200, core: int = CORE) -> Data
     runs = save_stage(texts.where(F.octet_length("text") >= window).mapInArrow(released(_runs(window, core)), RUN), "runs")
     # weight 0: repeats as a whole; 2: the same, and stands for it in its core's group; 1: to be compared
     weight = F.when(F.col("same") == 1, 1).when(F.col("stand_in") & (F.col("least") == 1), 2).otherwise(0)
-    by_text = _ranked(runs).groupBy(*KEY).agg(F.collect_list(F.struct("start", "n", weight.alias("weight"))).alias("runs"))
+    by_text = _ranked(runs).groupBy(*KEY).agg(F.collect_list(F.struct(F.when(weight > 0, F.col("core")).alias("core"), "start", "n", weight.alias("weight"))).alias("runs"))
     # equal rows have equal keys: joined once each
     packed = texts.where(F.octet_length("text") >= window).mapInArrow(released(_packed), "doc_id long, tag long, packed binary")
     touched = save_stage(_null_safe(packed, by_text), "touched")
 
-    positions = touched.mapInArrow(released(_windows(window)), "doc_id long, tag long, start int, weight int, first long, last long")
+    strings = save_stage(touched.mapInArrow(released(_strings(window)), "doc_id long, tag long, core long, start int, weight int, bytes binary"), "strings")
+    popular = save_stage(strings.groupBy("core").agg(F.count("*").alias("n")).where(F.col("n") > GROUP).select("core"), "popular")
+    found = map_groups(strings.join(popular, "core", "left_anti"), ["core"], _compare(window), "doc_id long, tag long, start int, n int")
+    positions = strings.join(popular, "core", "left_semi").mapInArrow(released(_windows(window)), "doc_id long, tag long, start int, weight int, first long, last long")
     ranks = save_stage(positions.groupBy("first", "last").agg(F.sum("weight").alias("same")).where("same > 1").select("first", "last"), "ranks")
-    found = positions.where("weight = 1").join(ranks, ["first", "last"])  # stand-ins are known to repeat
-    more = found.groupBy(*KEY).agg(F.collect_list("start").alias("more"))
+    hot = positions.where("weight = 1").join(ranks, ["first", "last"])  # stand-ins are known to repeat
+    found = found.unionByName(hot.select(*KEY, "start", F.lit(1).alias("n")))
+    more = found.groupBy(*KEY).agg(F.collect_list(F.struct("start", "n")).alias("more"))
     return _null_safe(touched, more, "left").mapInArrow(released(_cut(window)), "doc_id long, tag long, spans array<struct<start:int,stop:int>>, n_removed long, kept_sha256 string")
 
 

@@ -21,9 +21,10 @@ def brute(rows, window):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize(("window", "core", "chunk"), [(200, 64, 1 << 20), (24, 9, 150), (10, 10, 1000), (12, 1, 300), (25, 7, 1 << 20)])
-def test_dedup_substrings(spark, monkeypatch, window, core, chunk):
+@pytest.mark.parametrize(("window", "core", "group", "chunk"), [(200, 64, 4_000, 1 << 20), (24, 9, 2, 150), (10, 10, 3, 1000), (12, 1, 0, 300), (25, 7, 4000, 1 << 20)])
+def test_dedup_substrings(spark, monkeypatch, window, core, group, chunk):
     monkeypatch.setattr(substring_dedup, "CHUNK", chunk)
+    monkeypatch.setattr(substring_dedup, "GROUP", group)
     rng = random.Random(window)
     letters = "abé " if window > 20 else "abcdefgh ijklmnopé"
     make = lambda n: "".join(rng.choice(letters) for _ in range(n))
@@ -42,8 +43,10 @@ def test_dedup_substrings(spark, monkeypatch, window, core, chunk):
     assert substring_dedup.dedup_substrings(df.limit(0), window, core).count() == 0
 
 
-def test_one_passage_in_many_contexts(spark):
+@pytest.mark.parametrize("group", [4000, 500])
+def test_one_passage_in_many_contexts(spark, monkeypatch, group):
     """A popular core: every string around it differs, what they share goes."""
+    monkeypatch.setattr(substring_dedup, "GROUP", group)
     rng = random.Random(4)
     passage = "".join(rng.choice("abcdefgh ") for _ in range(260))
     rows = [(i, "".join(rng.choice("ijklmnop ") for _ in range(60)) + passage + "".join(rng.choice("qrstuvw ") for _ in range(60))) for i in range(3000)]
