@@ -5,7 +5,8 @@ from an Aho-Corasick automaton over the vocabulary (not a suffix automaton, whic
 prefix before it, that is, if no merge of the two sides would have crossed their border. Back-pointers from the whole
 string then give the ids. Pieces (split as the library splits) are encoded once and kept in a bounded cache.
 
-Defined cases: null and empty texts have no ids; the string of an added token is one id wherever it stands; ids that
+Defined cases: null and empty texts have no ids; very long texts are encoded whole, a piece at a time; two merges of
+equal rank are made left first, as the library does; texts stand alone, so repeated ones are equal; the string of an added token is one id wherever it stands; ids that
 are no token raise KeyError; invalid UTF-8 after decoding becomes U+FFFD.
 """
 

@@ -3,7 +3,8 @@
 Lines are exploded with their positions, hashed, counted by distinct document, and lines over the threshold are
 cut from every document but the one with the largest id; what stays is reassembled by position.
 
-Defined cases: a null or empty text is one empty line; a row with a null doc_id neither counts nor loses lines;
+Defined cases: a null or empty text is one empty line; a very long text is split whole, a row a line; a line that a
+document holds several times counts once, and all its copies stay in the largest doc_id, which breaks ties; a row with a null doc_id neither counts nor loses lines;
 rows that repeat a doc_id are one document for the count and each is cut alike; extra columns stay as they are
 (n_lines, n_dropped and kept_text are replaced); an empty table gives an empty table.
 """

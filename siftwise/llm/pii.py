@@ -7,7 +7,8 @@ that changes no match: no backtracking, no deep recursion on long digit runs.
 Kinds email, ip, card and phone are always kept once valid; iban is confirmed by mod-97; ssn and local_phone need a
 nearby context word to reach MIN_SCORE.
 
-Defined cases: null and empty texts hold no spans; offsets are code points, end exclusive; rows are judged one by
+Defined cases: null and empty texts hold no spans; very long texts are searched whole; of kinds that tie on a place all
+are reported, by kind as listed and then start; offsets are code points, end exclusive; rows are judged one by
 one, so repeated rows and any doc_id (null too) give equal results; extra columns stay; a column named pii is
 replaced; an empty table gives an empty table.
 """

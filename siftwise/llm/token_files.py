@@ -5,8 +5,8 @@ again). Each row is a segment of whole documents: part, base (ids before it in i
 stream of independently reset, checksummed blocks (idcoder.py). Parts are ranges of doc_id. Only the ids total of each
 part is summed on the driver's side, in a join of as many rows as there are parts.
 
-Defined cases: a null or empty text holds just the end id; a null doc_id comes first; rows that repeat a doc_id
-follow each other; extra columns are ignored; an empty table writes and reads as no documents.
+Defined cases: a null or empty text holds just the end id; a very long text is one document of a segment of its own
+size; a null doc_id comes first; rows that repeat a doc_id (ties of the order) follow each other by a hash of the text; extra columns are ignored; an empty table writes and reads as no documents.
 """
 
 from __future__ import annotations

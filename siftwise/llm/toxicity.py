@@ -8,7 +8,8 @@ the logit is added to the loss, so that a mention of a group does not move the s
 The fit takes MAX_ROWS labelled texts at most (the smallest by a hash of doc_id, whole texts), so the one task that
 fits holds a bounded number of rows and the driver its weights only; scoring runs over every row, one word at a time through a bounded cache.
 
-Defined cases: null and empty texts score the bias; doc_ids with conflicting or null labels are not trained on, nor
+Defined cases: null and empty texts score the bias; very long texts are scored whole, by their distinct words; a score
+of exactly 0.5 is predicted 1; rows of equal hash are taken by doc_id; repeated texts score alike; doc_ids with conflicting or null labels are not trained on, nor
 are null doc_ids; repeated labels count once; without labels of both classes every score is that of the one class, or 0.0 without labels; score and predicted replace columns of that name, other columns stay; an empty table gives an
 empty table.
 """

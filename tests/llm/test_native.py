@@ -39,6 +39,8 @@ def test_line_dedup(spark):
     got = line_dedup.dedup_lines(spark.createDataFrame([(*r, "old") for r in rows], DOCS)).select("doc_id", "n_lines", "n_dropped", "kept_text")
     assert sorted(map(tuple, got.collect()), key=str) == brute_lines(rows)
     assert line_dedup.dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
+    clash = line_dedup.dedup_lines(spark.createDataFrame([(1, "a\nb", "x", "y", "z")], DOCS + ", n_dropped string, kept_text string"))
+    assert tuple(clash.select("n_lines", "n_dropped", "kept_text").first()) == (2, 0, "a\nb") and len(set(clash.columns)) == len(clash.columns)
 
 
 def brute_pii(text):

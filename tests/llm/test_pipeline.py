@@ -53,6 +53,13 @@ def test_pipeline(spark, tmp_path):
     want = {d: library.encode(t or "", add_special_tokens=False).ids for d, t in left}
     got = corpus_pipeline.run(spark, where).collect()
     assert {r["doc_id"]: r["ids"] for r in got} == want and len(got) == len(want)
+    # without labels or benchmark nothing is dropped; repeated rows and rows without an id stay together
+    for name, kind in (("labels", "doc_id long, quality int, toxic int"), ("benchmark", "item_id long, text string")):
+        spark.createDataFrame([], kind).write.mode("overwrite").parquet(f"{where}/none/{name}.parquet")
+    odd = spark.createDataFrame([(1, "one two three four five six seven", "en", "s", 33), (1, "again", "en", "s", 5), (None, "one two three four five six seven", "en", "s", 33), (2, None, None, None, None)], COLUMNS)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, odd, f"{where}/none")
+        assert out.count() == 4 and (name == "bpe" or out.columns == odd.columns)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, docs.limit(0), where)
         assert empty.count() == 0
