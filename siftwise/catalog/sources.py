@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from siftwise.catalog.registry import query
 from siftwise.functions.scalar import content_hash
 from siftwise.operators import keyed
-from siftwise.operators.vectors import lists_of
 from siftwise.plans.stages import fresh_path as fresh
 from siftwise.plans.stages import table
 from siftwise.sources import codecs, tables
@@ -90,36 +89,25 @@ def s08(spark, d):
     return codecs.read_codes_text(spark, f"{out}/part-*").select("id", "c0", "c1", F.col("fine")[0].alias("f0"), F.col("fine")[1].alias("f1"))
 
 
-def _vector_file(spark, d, name, kind):
-    """One file per partition, moved by Spark's own text-free binary route: content rows parsed as files are."""
-    return codecs.matrix_files(table(spark, d, "embeddings"), "vec_id", "embedding", kind)
+SUMS = "SELECT count(*) AS n, round(sum(list_sum(embedding::DOUBLE[])), 4) AS total FROM embeddings"
 
 
-SUMS = "SELECT count(*) AS n, round(sum(list_sum(embedding::DOUBLE[])), 4) AS total FROM embeddings"
+def _sums(rows):
+    return rows.agg(F.count("*").alias("n"), F.round(F.sum(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x)), 4).alias("total"))
 
 
 @query("s09", SUMS)
 def s09(spark, d):
-    return _parsed(_vector_file(spark, d, "s09", "fvecs"), lambda c: codecs.parse_xvecs(c, "fvecs"))
+    out = fresh(spark, "s09")
+    codecs.write_vector_files(table(spark, d, "embeddings"), "vec_id", "embedding", out, "fvecs")
+    return _sums(codecs.read_xvecs(spark, f"{out}/*.fvecs", "fvecs"))
 
 
 @query("s10", SUMS)
 def s10(spark, d):
-    import numpy as np
-
-    return _parsed(_vector_file(spark, d, "s10", None), lambda c: np.frombuffer(c, "<f4").reshape(-1, 64))
-
-
-def _parsed(files, parse):
-    import pyarrow as pa
-
-    def run(batches):
-        for b in batches:
-            for content in b.column(0).to_pylist():
-                yield pa.RecordBatch.from_arrays([lists_of(parse(content).astype(float))], ["v"])
-
-    rows = files.select("content").mapInArrow(run, "v array<double>")
-    return rows.agg(F.count("*").alias("n"), F.round(F.sum(F.aggregate("v", F.lit(0.0), lambda s, x: s + x)), 4).alias("total"))
+    out = fresh(spark, "s10")
+    codecs.write_vector_files(table(spark, d, "embeddings"), "vec_id", "embedding", out)
+    return _sums(codecs.read_matrix(spark, f"{out}/*.bin", 64))
 
 
 @query("s11", "SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings WHERE vec_id IN (1, 5, 17)")
@@ -226,7 +214,12 @@ def s25(spark, d):
     return tables.fetched(docs, lambda key: F.col("remote")).where("verified").groupBy("sha1").agg(F.count("*").alias("n"))
 
 
-@query("s26", "SELECT count(*) AS n, count(*) FILTER (WHERE length(text) = 0) AS empty FROM documents")
+@query("s26", """SELECT status, count(*) AS n FROM (SELECT CASE WHEN doc_id % 3 = 0 THEN 'whole' WHEN doc_id % 3 = 1 THEN 'truncated'
+WHEN coalesce(length(text), 0) = 0 THEN 'empty' ELSE 'no JPEG' END AS status FROM documents) GROUP BY 1""")
 def s26(spark, d):
-    content = F.col("text").cast("binary")
-    return table(spark, d, "documents").agg(F.count("*").alias("n"), F.count_if(F.octet_length(content) == 0).alias("empty"))
+    """Downloads checked before they are kept: here texts between JPEG markers, without the last one, and bare."""
+    from siftwise.functions.images import integrity
+
+    body, mark = F.coalesce(F.col("text").cast("binary"), F.lit(b"")), lambda h: F.unhex(F.lit(h))
+    content = F.when(F.col("doc_id") % 3 == 0, F.concat(mark("FFD8"), body, mark("FFD9"))).when(F.col("doc_id") % 3 == 1, F.concat(mark("FFD8"), body)).otherwise(body)
+    return table(spark, d, "documents").groupBy(integrity(content).alias("status")).agg(F.count("*").alias("n"))

@@ -61,6 +61,13 @@ def image_info(data: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([parse_header(x) or (None, None, None) for x in data], columns=["format", "width", "height"]).astype({"width": "Int32", "height": "Int32"})
 
 
+def integrity(data: Column) -> Column:
+    """What a download holds: 'empty' (null or no bytes), 'truncated' (a JPEG without its end marker), 'whole' (a JPEG), 'no JPEG'."""
+    starts, ends = F.substring(data, 1, 2) == F.lit(b"\xff\xd8"), F.substring(data, -2, 2) == F.lit(b"\xff\xd9")
+    empty = F.coalesce(F.octet_length(data), F.lit(0)) == 0
+    return F.when(empty, "empty").when(starts & ends & (F.octet_length(data) >= 4), "whole").when(starts, "truncated").otherwise("no JPEG")
+
+
 def hash_and_info(data: Column) -> Column:
     """struct(sha1, info): content hash and header of image bytes."""
     return F.struct(content_hash(data).alias("sha1"), image_info(data).alias("info"))

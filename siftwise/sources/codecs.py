@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,3 +118,28 @@ def matrix_files(df: DataFrame, key: str, vector: str, kind: str | None = None,
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(0, 1), pa.array([len(m)]), pa.array([content], pa.binary())], ["first", "n", "content"])
 
     return df.select(F.col(key).cast("long"), vector).repartitionByRange(key).sortWithinPartitions(key).mapInArrow(run, "first long, n long, content binary")
+
+
+def write_vector_files(df: DataFrame, key: str, vector: str, path: str, kind: str | None = None, dtype: str = "<f4") -> DataFrame:
+    """Write .fvecs, .ivecs, .bvecs or raw files of row-major matrices under path, in key order; (file, n) of each.
+
+    Tasks write by Arrow, to any file system that it knows and all executors share; a file is moved to its name when it is
+    whole, and names follow from the partition, so a task that runs again replaces its own files.
+    """
+    suffix = f".{kind}" if kind else ".bin"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        fs, root = pafs.FileSystem.from_uri(path)
+        fs.create_dir(root, recursive=True)
+        number = 0
+        for b in batches:
+            for n, content in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
+                name = f"{root}/part-{context.partitionId():05d}-{number:05d}{suffix}"
+                with fs.open_output_stream(f"{name}.{context.taskAttemptId()}.tmp") as out:
+                    out.write(content)
+                fs.move(f"{name}.{context.taskAttemptId()}.tmp", name)
+                number += 1
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], ["file", "n"])
+
+    return df.sparkSession.createDataFrame(matrix_files(df, key, vector, kind, dtype).mapInArrow(run, "file string, n long").collect(), "file string, n long")

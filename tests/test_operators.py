@@ -182,6 +182,12 @@ def test_xvecs(spark, tmp_path, kind):
     assert [r["vector"] for r in got] == m.tolist()
     with pytest.raises(ValueError, match="truncated"):
         codecs.parse_xvecs(data[:-1], kind)
+    # written by tasks, as files, and read again
+    df = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(m)], "id long, v array<double>").repartition(2)
+    files = codecs.write_vector_files(df, "id", "v", f"file://{tmp_path}/out", kind).collect()
+    assert sum(r["n"] for r in files) == 3 and all((tmp_path / "out" / r["file"].rsplit("/", 1)[-1]).exists() for r in files)
+    back = codecs.read_xvecs(spark, f"file://{tmp_path}/out/*.{kind}", kind).orderBy("file", "pos").collect()
+    assert sorted(r["vector"] for r in back) == m.tolist()
 
 
 def test_queue(spark):
