@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from siftwise.catalog.registry import query
 from siftwise.functions.scalar import content_hash
-from siftwise.operators import keyed
 from siftwise.plans.stages import fresh_path as fresh
 from siftwise.plans.stages import table
 from siftwise.sources import codecs, tables
