@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from pyspark.sql import functions as F
 
 from siftwise.catalog.joins import EXISTING, INCOMING, MERGED, existing, incoming
