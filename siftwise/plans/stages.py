@@ -66,6 +66,12 @@ def _filesystem(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder if it is not there, on whatever file system its path names."""
+    fs, where = _filesystem(spark, path)
+    fs.mkdirs(where)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int, n_bytes: Column | None = None, max_bytes: int = 64 << 20) -> DataFrame:
     """Hint a broadcast when df is proved to have max_rows rows at most and, by n_bytes a row (for rows that vary),
     max_bytes bytes at most; else leave the choice to Spark."""

@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from siftwise.plans.stages import make_folder
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -17,20 +20,21 @@ def run_updates(stream: DataFrame, table: str, key: str, transform: Callable[[Da
     """Append the transformed rows of each micro-batch whose key the table lacks.
 
     A batch that runs again after a failure finds its keys there, so every key is written once. Each batch has a folder
-    of its own below the table's, overwritten when it is repeated: no path is read and overwritten by one job.
+    of its own below the table's, overwritten when it is repeated: no path is read and overwritten by one job. The folder
+    is named by the checkpoint's own id too, so a stream that starts again without its checkpoint, and counts from 0 again,
+    overwrites nothing: it finds its keys in the folders of the one before.
     """
     spark = stream.sparkSession
+    make_folder(spark, table)
 
     def one(batch: DataFrame, number: int) -> None:
+        writer = spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
         rows = transform(batch)
         rows = rows.groupBy(key).agg(F.min(F.struct(*rows.columns)).alias("r")).select("r.*")
-        try:
-            have = spark.read.parquet(table).where(F.col("batch") < number)
-            rows = rows.join(have.select(key), key, "left_anti")
-        except Exception as e:  # the first batch has no table to look at
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        rows.write.mode("overwrite").parquet(f"{table}/batch={number}")
+        # the schema is given, as a table without a finished batch has none to find
+        known = T.StructType([rows.schema[key], T.StructField("writer", T.StringType()), T.StructField("batch", T.LongType())])
+        have = spark.read.schema(known).parquet(table).where((F.col("writer") != writer) | (F.col("batch") < number))
+        rows.join(have.select(key), key, "left_anti").write.mode("overwrite").parquet(f"{table}/writer={writer}/batch={number}")
 
     writer = stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint)
     query = (writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)).start()

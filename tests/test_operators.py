@@ -214,6 +214,23 @@ def test_store(spark, tmp_path):
     assert store.failed("a") and store.save(df, "a") and store.load("a").count() == 3
 
 
+def test_stream_without_its_checkpoint(spark, tmp_path):
+    """A stream that lost its checkpoint numbers its batches from 0 again and keeps what is there."""
+    import shutil
+
+    from siftwise.streaming import updates
+
+    source, out, checkpoint = (str(tmp_path / n) for n in ("in", "out", "checkpoint"))
+    for part, lost in (([1, 2], False), ([2, 3], False), ([3, 4], True)):
+        spark.createDataFrame([(k,) for k in part], "k long").coalesce(1).write.mode("append").parquet(source)
+        if lost:
+            shutil.rmtree(checkpoint)
+            shutil.rmtree(source)
+            spark.createDataFrame([(k,) for k in part], "k long").coalesce(1).write.parquet(source)
+        updates.run_updates(updates.file_stream(spark, source, "k long"), out, "k", lambda b: b, checkpoint)
+    assert sorted(r.k for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
+
+
 def test_service():
     assert service.parse_options(None) == ({}, [])
     assert service.parse_options("[]")[1] and service.parse_options('{"near_dup": 1, "no_blur": true}') == ({"no_blur": True}, ["option near_dup is no bool"])
