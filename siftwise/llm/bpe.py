@@ -1,7 +1,7 @@
 """Byte-level BPE, exactly as the tokenizers library has it: encoding by per-prefix dynamic programming, and decoding.
 
 The BPE encoding of every prefix of a byte string has one last token. For each prefix the tokens that end there come
-from an Aho-Corasick automaton over the vocabulary (not a suffix automaton, which would find the same ones); a candidate is the last token if it can stand after the last token of the
+from a suffix automaton of the vocabulary; a candidate is the last token if it can stand after the last token of the
 prefix before it, that is, if no merge of the two sides would have crossed their border. Back-pointers from the whole
 string then give the ids. Pieces (split as the library splits) are encoded once and kept in a bounded cache.
 
@@ -17,10 +17,11 @@ import math
 from array import array
 from collections.abc import Iterable
 
-import ahocorasick
 import numpy as np
 import regex
 
+from siftwise.llm.suffix_automaton import SuffixAutomaton
+
 #: How the library splits text before merging.
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: Outside these blocks Unicode versions may class characters otherwise; the library itself splits such texts.
@@ -126,10 +127,7 @@ class PrefixBPE(_Cached):
             left, right = self.parts[i]
             if left in sound and right in sound and self.compatible(left, right, self.birth[i]):
                 sound.add(i)
-        self.automaton = ahocorasick.Automaton()
-        for i in sound:
-            self.automaton.add_word(self.bytes_of[i].decode("latin-1"), (len(self.bytes_of[i]), i))
-        self.automaton.make_automaton()
+        self.automaton = SuffixAutomaton((self.bytes_of[i], i) for i in sorted(sound))
         self.pairs: dict[int, bool] = {}
         size = 1 + max([*self.bytes_of, *self.added_bytes])
         #: Bytes and decimal digits of every id.
@@ -158,21 +156,21 @@ class PrefixBPE(_Cached):
         """Ids of one piece: the last token of every prefix, then the way back."""
         last: list[int] = [-1] * (len(piece) + 1)
         back = [0] * (len(piece) + 1)
-        pairs, done = self.pairs, 0
-        for end, (length, token) in self.automaton.iter(piece.decode("latin-1")):
-            end += 1
-            if end == done:
-                continue
-            if length < end:
-                pair = last[end - length] << 20 | token
-                ok = pairs.get(pair)
-                if ok is None:
-                    if len(pairs) >= PAIRS_KEPT:
-                        pairs.clear()
-                    ok = pairs[pair] = self.compatible(last[end - length], token)
-                if not ok:
-                    continue
-            last[end], back[end], done = token, length, end
+        pairs = self.pairs
+        for end, found in enumerate(self.automaton.ends(piece), 1):
+            while found:
+                length, token, found = found
+                if length < end:
+                    pair = last[end - length] << 20 | token
+                    ok = pairs.get(pair)
+                    if ok is None:
+                        if len(pairs) >= PAIRS_KEPT:
+                            pairs.clear()
+                        ok = pairs[pair] = self.compatible(last[end - length], token)
+                    if not ok:
+                        continue
+                last[end], back[end] = token, length
+                break
         ids, at = [], len(piece)
         while at:
             ids.append(last[at])

@@ -9,6 +9,7 @@ from tokenizers import Tokenizer
 
 from siftwise.llm import idcoder, queries_tokens, token_files
 from siftwise.llm.bpe import LibraryBPE, PrefixBPE
+from siftwise.llm.suffix_automaton import SuffixAutomaton
 
 PATH = public_tokenizers.path(queries_tokens.TOKENIZER)
 
@@ -35,6 +36,22 @@ def test_bpe():
     assert own.decode(loose) == library.decode(loose, skip_special_tokens=False)
 
 
+def test_suffix_automaton():
+    """Against trying every word at every place, on alphabets small enough that words share most of their substrings."""
+    rng = random.Random(4)
+    for letters in (b"a", b"ab", b"abcd"):
+        for _ in range(150):
+            words = list({bytes(rng.choice(letters) for _ in range(rng.randint(1, 7))) for _ in range(rng.randint(0, 25))})
+            text = bytes(rng.choice(letters + b"z") for _ in range(rng.randint(0, 40)))
+            got = []
+            for found in SuffixAutomaton((w, i) for i, w in enumerate(words)).ends(text):
+                got.append([])
+                while found:
+                    _, number, found = found
+                    got[-1].append(words[number])
+            assert got == [sorted((w for w in words if text[:end].endswith(w)), key=len, reverse=True) for end in range(1, len(text) + 1)]
+
+
 def test_caches_are_bounded(monkeypatch):
     from siftwise.llm import bpe
 
