@@ -98,11 +98,30 @@ def a21(spark, d):
     return lopq.coarse_agreement(near, lopq.encode(e, "vec_id", "embedding", model))
 
 
-@query("v01")
+V01 = """
+WITH p AS (SELECT doc_id, r, c, ascii(substr(h, (r * 8 + c + 1)::INT, 1)) AS v FROM (SELECT doc_id, sha256(text) AS h FROM documents), (SELECT unnest(range(1, 7)) AS r), (SELECT unnest(range(1, 7)) AS c)),
+s AS (SELECT doc_id, (r - 1) // 3 AS a, (c - 1) // 3 AS b, f, sum((v - 10 * (k + 1)) * (((r - 1) % 3 * 3 + (c - 1) % 3 + k + 5 * f) % 7 - 3)) + f AS x
+  FROM p, (SELECT unnest(range(3)) AS k), (SELECT unnest(range(4)) AS f) GROUP BY 1, 2, 3, 4)
+SELECT doc_id, max(CASE WHEN f = 0 THEN x * (x > 0)::INT END)::DOUBLE AS f0, max(CASE WHEN f = 1 THEN x * (x > 0)::INT END)::DOUBLE AS f1,
+  max(CASE WHEN f = 2 THEN x * (x > 0)::INT END)::DOUBLE AS f2, max(CASE WHEN f = 3 THEN x * (x > 0)::INT END)::DOUBLE AS f3 FROM s GROUP BY 1
+"""
+
+
+@query("v01", V01)
 def v01(spark, d):
-    """The extractor is a column function that the user gives; here byte statistics stand in for a network."""
-    content = F.encode("text", "utf-8")
-    return table(spark, d, "documents").select("doc_id", F.array(F.octet_length(content).cast("double"), F.crc32(content).cast("double")).alias("feat"))
+    """The whole way from image bytes to a layer's output, through a network small enough for SQL: a document's hash in
+    hexadecimal digits is an 8 x 8 image, of which the 6 x 6 in the middle is convolved."""
+    from siftwise.functions import network
+
+    def load():
+        i, j, k, f = np.indices((3, 3, 3, 4))
+        return {"conv": (((i * 3 + j + k + 5 * f) % 7 - 3).astype(np.float32), np.arange(4, dtype=np.float32))}
+
+    net = (network.Layer("conv", "conv", 3, 4, 3, padding="VALID"), network.Layer("pool", "max_pool", 2, stride=2, padding="VALID"))
+    features = network.extractor(net, "v01", load, "pool", 8, 6, (10, 20, 30))
+    image = F.concat(F.encode(F.lit("P5 8 8 255\n"), "utf-8"), F.encode(F.sha2("text", 256), "utf-8"))
+    rows = table(spark, d, "documents").select("doc_id", features(image).alias("feat"))
+    return rows.select("doc_id", *[F.col("feat")[i].cast("double").alias(f"f{i}") for i in range(4)])
 
 
 @query("v02", "SELECT vec_id, 1.0::DOUBLE AS norm FROM embeddings")

@@ -1,6 +1,8 @@
 """Edge cases and invariants of the operators."""
 
+import math
 import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -240,6 +242,99 @@ def test_service():
     assert made.advance("p", "FAILED") == "failed" == made.advance("p", "SUCCEEDED")
 
 
+def png(pixels, kind, filters):
+    """A PNG of height x width x channels samples, row y filtered by filters[y % len(filters)], one sample at a time."""
+    def chunk(name, body):
+        return struct.pack(">I", len(body)) + name + body + struct.pack(">I", zlib.crc32(name + body))
+
+    height, width, channels = pixels.shape
+    at = lambda y, x, c: int(pixels[y, x, c]) if y >= 0 and x >= 0 else 0
+    raw = bytearray()
+    for y in range(height):
+        f = filters[y % len(filters)]
+        raw.append(f)
+        for x in range(width):
+            for c in range(channels):
+                a, b, d = at(y, x - 1, c), at(y - 1, x, c), at(y - 1, x - 1, c)
+                paeth = min((a, b, d), key=lambda v: abs(a + b - d - v))  # the first of equals
+                raw.append((at(y, x, c) - (0, a, b, (a + b) // 2, paeth)[f]) % 256)
+    head = struct.pack(">IIBBBBB", width, height, 8, kind, 0, 0, 0)
+    plte = chunk(b"PLTE", bytes(range(256)) * 3) if kind == 3 else b""
+    packed = zlib.compress(bytes(raw))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + plte + chunk(b"IDAT", packed[:9]) + chunk(b"IDAT", packed[9:]) + chunk(b"IEND", b"")
+
+
+def test_pixels():
+    from siftwise.functions import pixels
+
+    rng = np.random.default_rng(3)
+    for kind, channels in pixels.PNG_CHANNELS.items():
+        image = rng.integers(0, 256, (7, 5, channels), np.uint8)
+        palette = np.frombuffer(bytes(range(256)) * 3, np.uint8).reshape(-1, 3)
+        want = palette[image[..., 0]] if kind == 3 else np.repeat(image[..., :1], 3, axis=2) if channels < 3 else image[..., :3]
+        data = png(image, kind, [0, 1, 2, 3, 4, 4, 3])
+        assert (pixels.decode(data) == want).all()
+        assert pixels.decode(data[:60]) is None
+    colour = rng.integers(0, 256, (2, 3, 3), np.uint8)
+    assert (pixels.decode(b"P6\n3 2\n255\n" + colour.tobytes()) == colour).all()
+    assert (pixels.decode(b"P5 2 1 255\n\n ") == [[[10] * 3, [32] * 3]]).all()
+    assert [pixels.decode(x) for x in (None, b"", b"P5 2 2 255\nab", b"P6", b"\xff\xd8\xff")] == [None] * 5
+
+    def cubic(x):
+        x = abs(x)
+        return 1.5 * x**3 - 2.5 * x**2 + 1 if x < 1 else -0.5 * x**3 + 2.5 * x**2 - 4 * x + 2 if x < 2 else 0.0
+
+    def line(samples, to):
+        scale, out = len(samples) / to, []
+        for i in range(to):
+            w = [cubic((j + 0.5 - (i + 0.5) * scale) / max(scale, 1)) for j in range(len(samples))]
+            out.append(min(255, max(0, math.floor(sum(a * b for a, b in zip(w, samples)) / sum(w) + 0.5))))
+        return out
+
+    for shape, to in (((5, 9), (8, 4)), ((3, 3), (3, 7)), ((12, 10), (5, 5))):
+        image = rng.integers(0, 256, (*shape, 1), np.uint8)
+        wide = np.array([line(row, to[1]) for row in image[..., 0].tolist()])
+        assert (pixels.resize(image, *to)[..., 0] == np.array([line(column, to[0]) for column in wide.T.tolist()]).T).all()
+    assert (pixels.prepared(colour.repeat(2, 0).repeat(2, 1)[:4, :4], 4, 2, (1, 2, 3)) == colour.repeat(2, 0).repeat(2, 1)[1:3, 1:3, ::-1] - np.float32([1, 2, 3])).all()
+
+
+def test_extraction(spark):
+    """Against a network of plain loops; bytes that are no image have no features."""
+    from siftwise.functions import network
+
+    assert network.weight_shapes(network.IMAGE_NET) == {"conv1": (11, 11, 3, 96), "conv2": (5, 5, 48, 256), "conv3": (3, 3, 256, 384), "conv4": (3, 3, 192, 384), "conv5": (3, 3, 192, 256), "fc6": (9216, 4096), "fc7": (4096, 4096), "fc8": (4096, 2089)}
+    net = (network.Layer("c1", "conv", 3, 4, 2, padding="VALID"), network.Layer("c2", "conv", 3, 4, groups=2), network.Layer("p", "max_pool", 2, stride=1, padding="VALID"), network.Layer("n", "norm"), network.Layer("d", "dense", filters=3, relu=False))
+    rng = np.random.default_rng(5)
+    weights = {n: (rng.normal(size=s), rng.normal(size=s[-1])) for n, s in network.weight_shapes(net, 7).items()}
+    images = rng.integers(0, 256, (40, 9, 9, 3), np.uint8)
+
+    def convolved(x, w, b, stride, pad, groups):
+        size, inside, filters = w.shape[0], w.shape[2], w.shape[3]
+        x = np.pad(x, ((pad, pad), (pad, pad), (0, 0)))
+        n = (x.shape[0] - size) // stride + 1
+        out = np.empty((n, n, filters))
+        for r, c, f in np.ndindex(out.shape):
+            g = f // (filters // groups)
+            out[r, c, f] = max(0, (x[r * stride : r * stride + size, c * stride : c * stride + size, g * inside : (g + 1) * inside] * w[..., f]).sum() + b[f])
+        return out
+
+    def plain(image):
+        x = convolved(image[1:8, 1:8, ::-1] - 100.0, *weights["c1"], 2, 0, 1)
+        x = convolved(x, *weights["c2"], 1, 1, 2)
+        x = np.array([[x[r : r + 2, c : c + 2].max(axis=(0, 1)) for c in range(x.shape[1] - 1)] for r in range(x.shape[0] - 1)])
+        x = x / (1 + 2e-5 * np.stack([(x[..., max(0, c - 2) : c + 3] ** 2).sum(axis=-1) for c in range(x.shape[2])], axis=-1)) ** 0.75
+        return x.ravel() @ weights["d"][0] + weights["d"][1]
+
+    rows = [(i, b"P6 9 9 255\n" + image.tobytes()) for i, image in enumerate(images)] + [(40, b"no image"), (41, None), (42, b"")]
+    features = network.extractor(net, "test", lambda: weights, "d", 9, 7, 100.0)
+    got = {r.i: r.feat for r in spark.createDataFrame(rows, "i int, data binary").select("i", features("data").alias("feat")).collect()}
+    assert len(got) == 43 and all(got[i] is None for i in (40, 41, 42))
+    for i, image in enumerate(images):
+        assert np.allclose(got[i], plain(image), rtol=1e-4, atol=1e-2)
+    with pytest.raises(ValueError):
+        network.apply(net, weights, np.zeros((1, 7, 7, 3)), "none")
+
+
 def test_layers():
     x = np.arange(32.0).reshape(1, 4, 4, 2)
     w = np.zeros((1, 1, 1, 2))
