@@ -12,7 +12,7 @@ from siftwise.catalog.vectors import embeddings
 from siftwise.functions import scalar as s
 from siftwise.operators import knn, service
 from siftwise.plans.stages import table
-from siftwise.sources.store import StageStore
+from siftwise.sources.store import StageStore, StateStore
 
 ITEM = "'H' || vec_id AS sha1, 'https://s3/' || vec_id AS url"
 BODY = EXACT + f""", i AS (SELECT vec_id AS id, {ITEM} FROM embeddings)
@@ -81,24 +81,29 @@ def q07(spark, d):
     return documents(spark, d, camel=True).select("qid", short(F.col("body"), "Number", "Sha1", "SimilarImages", "QuerySha1").alias("body"))
 
 
-@query("q08", "SELECT count(*) AS indexed, max(vec_id) AS highest FROM embeddings")
+@query("q08", "SELECT 0::BIGINT AS before, count(*) AS indexed, 'OK' AS status, true AS refreshed FROM embeddings")
 def q08(spark, d):
-    return embeddings(spark, d).agg(F.count("*").alias("indexed"), F.max("vec_id").alias("highest"))
+    state = StateStore(spark, fresh(spark, "q08"))
+    before = service.IndexStatus(state).status()
+    service.IndexStatus(state).refresh(embeddings(spark, d))
+    now = service.IndexStatus(state).status()
+    return spark.createDataFrame([(before["indexed"], now["indexed"], now["status"], now["last_refresh"] is not None)], "before long, indexed long, status string, refreshed boolean")
 
 
-def registry():
-    made = service.ProjectRegistry()
-    for name in ("one", "two", "three"):
-        made.create(name, "domain", [{"type": "crawl"}])
+def registry(spark, name):
+    made = service.ProjectRegistry(StateStore(spark, fresh(spark, name)))
+    for project in ("one", "two", "three"):
+        made.create(project, "domain", [{"type": "crawl"}])
     return made
 
 
 @query("q09", "SELECT 'one' AS name, 'created' AS result UNION ALL SELECT 'one', 'project one exists' UNION ALL SELECT '', 'a project name has 1 to 255 characters' UNION ALL SELECT 'x', 'a project needs sources'")
 def q09(spark, d):
-    made, out = service.ProjectRegistry(), []
+    """Each project through a registry of its own, as if the driver had started anew."""
+    state, out = StateStore(spark, fresh(spark, "q09")), []
     for name, sources in (("one", [{}]), ("one", [{}]), ("", [{}]), ("x", [])):
         try:
-            made.create(name, "domain", sources)
+            service.ProjectRegistry(state).create(name, "domain", sources)
             out.append((name, "created"))
         except ValueError as e:
             out.append((name, str(e)))
@@ -107,30 +112,40 @@ def q09(spark, d):
 
 @query("q10", "SELECT 'one' AS name, 'ready' AS status UNION ALL SELECT 'two', 'rerunning' UNION ALL SELECT 'three', 'failed'")
 def q10(spark, d):
-    made = registry()
-    steps = (("one", "RUNNING"), ("one", "SUCCEEDED"), ("two", "FAILED"), ("three", "FAILED"), ("three", "FAILED"))
-    status = {name: made.advance(name, job) for name, job in steps}
-    return spark.createDataFrame(list(status.items()), "name string, status string")
+    made = registry(spark, "q10")
+    for name, job in (("one", "RUNNING"), ("one", "SUCCEEDED"), ("two", "FAILED"), ("three", "FAILED"), ("three", "FAILED")):
+        made.advance(name, job)
+    return spark.createDataFrame([(p["name"], p["status"]) for p in service.ProjectRegistry(made.state).projects()], "name string, status string")
 
 
 @query("q11", "SELECT 'domain' AS domain, 'one,three' AS projects")
 def q11(spark, d):
-    made = registry()
+    made = registry(spark, "q11")
     made.delete("two")
     return spark.createDataFrame([(k, ",".join(p)) for k, p in made.domains().items()], "domain string, projects string")
 
 
-@query("q12", "SELECT true AS held, false AS again")
+@query("q12", "SELECT true AS held, false AS again, true AS after")
 def q12(spark, d):
-    lock = service.ProjectRegistry().lock("domain")
-    return spark.createDataFrame([(lock.acquire(blocking=False), lock.acquire(blocking=False))], "held boolean, again boolean")
+    one, other = (StateStore(spark, root) for root in [fresh(spark, "q12")] * 2)
+    held, again = one.acquire("domain"), other.acquire("domain")
+    one.release("domain")
+    return spark.createDataFrame([(held, again, other.acquire("domain"))], "held boolean, again boolean, after boolean")
 
 
-@query("q13", "SELECT 'job-one-0' AS job_id UNION ALL SELECT 'job-one-1'")
+@query("q13", "SELECT 'job-one-0' AS job_id, 'SUCCEEDED' AS status, count(*) AS rows FROM documents UNION ALL SELECT 'job-two-0', 'FAILED', NULL")
 def q13(spark, d):
-    made = registry()
-    made.advance("one", "FAILED")
-    return spark.createDataFrame([(j,) for j in made.projects["one"].job_ids], "job_id string")
+    """A job that counts a table and one that fails, run and looked up."""
+    state, counted = StateStore(spark, fresh(spark, "q13")), {}
+
+    def job(project):
+        counted[project["name"]] = table(spark, d, project["sources"][0]["table"]).count()
+
+    runner = service.JobRunner(state, job)
+    made = service.ProjectRegistry(state, runner.submit)
+    jobs = {name: made.create(name, "domain", [{"table": source}])["job_ids"][-1] for name, source in (("one", "documents"), ("two", "none"))}
+    runner.wait()
+    return spark.createDataFrame([(j, runner.info(j)["status"], counted.get(name)) for name, j in jobs.items()], "job_id string, status string, rows long")
 
 
 @query("q14", EXACT + "SELECT qid, id, rank FROM k")

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import json
-import threading
 import time
-from dataclasses import dataclass, field
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,67 +92,122 @@ def check_alignment(found: DataFrame, table: DataFrame) -> tuple[DataFrame, Data
     return found.join(table.select(*pair), pair, "left_semi"), found.join(table.select(*pair), pair, "left_anti")
 
 
-@dataclass
-class Project:
-    name: str
-    domain: str
-    sources: list[dict]
-    job_ids: list[str] = field(default_factory=list)
-    status: str = "indexing"
+class JobRunner:
+    """Runs a project's job in threads of this driver and keeps what became of it in the state store."""
+
+    def __init__(self, state, job, threads: int = 2):
+        self.state, self.job = state, job
+        self.pool = ThreadPoolExecutor(threads, thread_name_prefix="job")
+
+    def submit(self, project: dict) -> str:
+        """Start the job; its id counts the project's jobs."""
+        return self._start(f"job-{project['name']}-{len(project['job_ids'])}", project)
+
+    def _start(self, job_id: str, project: dict) -> str:
+        self.state.change(f"job {job_id}", lambda _: {"kind": "job", "id": job_id, "project": project, "status": "RUNNING", "error": None})
+        self.pool.submit(self._run, job_id, project)
+        return job_id
+
+    def _run(self, job_id: str, project: dict) -> None:
+        status, error = "SUCCEEDED", None
+        try:
+            self.job(project)
+        except Exception as e:  # whatever the user's job raises is its result
+            status, error = "FAILED", f"{type(e).__name__}: {e}"
+        self.state.change(f"job {job_id}", lambda was: {**was, "status": status, "error": error})
+
+    def info(self, job_id: str) -> dict | None:
+        """State of a job: RUNNING, SUCCEEDED or FAILED, with what it raised."""
+        return self.state.read(f"job {job_id}")[1]
+
+    def rerun(self, job_id: str) -> str:
+        """Start a failed job again under its own id."""
+        was = self.info(job_id)
+        if not was or was["status"] != "FAILED":
+            raise ValueError(f"job {job_id} has not failed")
+        return self._start(job_id, was["project"])
+
+    def wait(self) -> None:
+        """Until all jobs are done; none can be submitted after."""
+        self.pool.shutdown(wait=True)
 
 
 class ProjectRegistry:
-    """Projects and their state machine: indexing -> rerunning -> failed, or ready."""
+    """Projects and their state machine: indexing -> rerunning -> failed, or ready. States and locks are in the store, so
+    another driver, or this one started anew, finds them."""
 
-    def __init__(self, run_job=None, max_reruns: int = 1):
-        self.run_job = run_job or (lambda project: f"job-{project.name}-{len(project.job_ids)}")
-        self.max_reruns = max_reruns
-        self.projects: dict[str, Project] = {}
-        self.locks: dict[str, threading.Lock] = {}
+    def __init__(self, state, run_job=None, max_reruns: int = 1):
+        self.state, self.max_reruns = state, max_reruns
+        self.run_job = run_job or (lambda project: f"job-{project['name']}-{len(project['job_ids'])}")
         self.started = time.time()
 
-    def lock(self, domain: str) -> threading.Lock:
-        return self.locks.setdefault(domain, threading.Lock())
-
-    def create(self, name: str, domain: str, sources: list[dict]) -> Project:
+    def create(self, name: str, domain: str, sources: list[dict]) -> dict:
         if not 1 <= len(name) <= 255:
             raise ValueError("a project name has 1 to 255 characters")
-        if name in self.projects:
+        if self.get(name):
             raise ValueError(f"project {name} exists")
         if not sources:
             raise ValueError("a project needs sources")
-        with self.lock(domain):
-            project = Project(name, domain, sources)
-            project.job_ids.append(self.run_job(project))
-            self.projects[name] = project
-        return project
+        project = {"kind": "project", "name": name, "domain": domain, "sources": sources, "job_ids": [], "status": "indexing"}
+        with self.state.locked(domain):
+            number, now = self.state.read(f"project {name}")
+            # the name is taken before its job starts
+            if now or not self.state.swap(f"project {name}", number, project):
+                raise ValueError(f"project {name} exists")
+            return self._submit(name, "indexing")
+
+    def _submit(self, name: str, status: str) -> dict:
+        job_id = self.run_job(self.get(name))
+        return self.state.change(f"project {name}", lambda p: {**p, "status": status, "job_ids": [*p["job_ids"], job_id]})
+
+    def get(self, name: str) -> dict | None:
+        return self.state.read(f"project {name}")[1]
 
     def advance(self, name: str, job_status: str) -> str:
         """Status after a look at the last job: SUCCEEDED, FAILED or RUNNING."""
-        project = self.projects[name]
-        if project.status in ("ready", "failed"):
-            return project.status
-        if job_status == "SUCCEEDED":
-            project.status = "ready"
-        elif job_status == "FAILED" and len(project.job_ids) <= self.max_reruns:
-            project.job_ids.append(self.run_job(project))
-            project.status = "rerunning"
-        elif job_status == "FAILED":
-            project.status = "failed"
-        return project.status
+        project = self.get(name)
+        with self.state.locked(project["domain"]):
+            project = self.get(name)
+            if project["status"] in ("ready", "failed") or job_status not in ("SUCCEEDED", "FAILED"):
+                return project["status"]
+            if job_status == "FAILED" and len(project["job_ids"]) <= self.max_reruns:
+                return self._submit(name, "rerunning")["status"]
+            return self.state.change(f"project {name}", lambda p: {**p, "status": "ready" if job_status == "SUCCEEDED" else "failed"})["status"]
 
     def delete(self, name: str) -> None:
-        with self.lock(self.projects[name].domain):
-            del self.projects[name]
+        project = self.get(name)
+        if not project:
+            raise KeyError(name)
+        with self.state.locked(project["domain"]):
+            self.state.change(f"project {name}", lambda _: None)
+
+    def projects(self) -> list[dict]:
+        return sorted((p for p in self.state.values() if p["kind"] == "project"), key=lambda p: p["name"])
 
     def domains(self) -> dict[str, list[str]]:
         out: dict[str, list[str]] = {}
-        for p in self.projects.values():
-            out.setdefault(p.domain, []).append(p.name)
+        for p in self.projects():
+            out.setdefault(p["domain"], []).append(p["name"])
         return out
 
     def status(self) -> dict:
-        return {"projects": len(self.projects), "uptime": time.time() - self.started}
+        return {"projects": len(self.projects()), "uptime": time.time() - self.started}
+
+
+class IndexStatus:
+    """Counts of the indexed table as of the last refresh, kept in the store; asked for as often as one likes."""
+
+    def __init__(self, state):
+        self.state, self.started = state, time.time()
+
+    def refresh(self, index: DataFrame) -> dict:
+        counted = {"kind": "index", "indexed": index.count(), "last_refresh": time.time()}
+        return self.state.change("index", lambda _: counted)
+
+    def status(self) -> dict:
+        """Before the first refresh nothing is counted and its time is None."""
+        known = self.state.read("index")[1] or {"indexed": 0, "last_refresh": None}
+        return {"status": "OK", "uptime": time.time() - self.started, "indexed": known["indexed"], "last_refresh": known["last_refresh"]}
 
 
 class ResultCache:

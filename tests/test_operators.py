@@ -14,7 +14,7 @@ from siftwise.operators import dedup, keyed, knn, lopq, queue, service
 from siftwise.operators import normalize as n
 from siftwise.operators import vectors as v
 from siftwise.sources import codecs
-from siftwise.sources.store import StageStore
+from siftwise.sources.store import StageStore, StateStore
 
 RECORD = "sha1 string, url string, ids array<string>, discarded string"
 
@@ -233,11 +233,53 @@ def test_stream_without_its_checkpoint(spark, tmp_path):
     assert sorted(r.k for r in spark.read.parquet(out).collect()) == [1, 2, 3, 4]
 
 
-def test_service():
+def test_states(spark, tmp_path):
+    """Changes from many threads are all kept; unfinished files, deletions and locks left behind."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    state, other = (StateStore(spark, f"file://{tmp_path}") for _ in range(2))
+    assert state.read("n") == (0, None) and list(state.values()) == []
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: (state, other)[i % 2].change("n", lambda v: {"n": (v or {"n": 0})["n"] + 1}), range(20)))
+    assert other.read("n") == (20, {"n": 20}) and not other.swap("n", 19, {"n": 0})
+    (tmp_path / "unfinished" / "x").write_text('{"na')
+    assert state.change("n", lambda v: {"n": 5}) == {"n": 5} and state.read("n") == (21, {"n": 5}) and list(other.values()) == [{"n": 5}]
+    state.change("n", lambda v: None)
+    assert other.read("n") == (22, None) and list(state.values()) == []
+    assert state.acquire("a/b: ..") and not other.acquire("a/b: ..") and other.acquire("a/b: ..", stale=-1)
+    with pytest.raises(TimeoutError), other.locked("a/b: ..", wait=0.1):
+        pass
+
+
+def test_jobs(spark, tmp_path):
+    state, ran = StateStore(spark, f"file://{tmp_path}"), []
+
+    def job(project):
+        ran.append(project["name"])
+        if len(ran) == 1:
+            raise OSError("first")
+
+    runner = service.JobRunner(state, job, threads=1)
+    made = service.ProjectRegistry(state, runner.submit)
+    first = made.create("p", "d", [{}])["job_ids"][0]
+    runner.pool.submit(int).result()  # after the job in the one thread
+    assert runner.info(first)["status"] == "FAILED" and runner.info(first)["error"] == "OSError: first"
+    assert made.advance("p", "FAILED") == "rerunning" and runner.rerun(first) == first
+    runner.wait()
+    again = service.ProjectRegistry(state)
+    assert again.get("p")["job_ids"] == ["job-p-0", "job-p-1"] and len(ran) == 3
+    assert {runner.info(j)["status"] for j in again.get("p")["job_ids"]} == {"SUCCEEDED"} and runner.info("none") is None
+    with pytest.raises(ValueError):
+        runner.rerun(first)
+    again.delete("p")
+    assert again.status()["projects"] == 0 and again.create("p", "d", [{}])["job_ids"] == ["job-p-0"]
+
+
+def test_service(spark, tmp_path):
     assert service.parse_options(None) == ({}, [])
     assert service.parse_options("[]")[1] and service.parse_options('{"near_dup": 1, "no_blur": true}') == ({"no_blur": True}, ["option near_dup is no bool"])
     assert service.search_options('{"near_dup": true}', "strict")[0] == 0.1
-    made = service.ProjectRegistry(max_reruns=0)
+    made = service.ProjectRegistry(StateStore(spark, f"file://{tmp_path}"), max_reruns=0)
     made.create("p", "d", [{}])
     assert made.advance("p", "FAILED") == "failed" == made.advance("p", "SUCCEEDED")
 
