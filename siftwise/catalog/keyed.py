@@ -116,7 +116,7 @@ def a22(spark, d):
     return audit.value_sets(table(spark, d, "documents"), "lang", "source").select("lang", F.array_join("values", ",").alias("vals"))
 
 
-@query("a23")
+@query("a23", "SELECT quality, count(*) AS n, count(*) FILTER (WHERE ('0x' || substr(md5(quality || ':' || doc_id), 1, 8))::BIGINT % 3 < 1) AS n_test FROM labels GROUP BY 1")
 def a23(spark, d):
     split = audit.stratified_split(table(spark, d, "labels"), "quality", "doc_id")
     return split.groupBy("quality").agg(F.count("*").alias("n"), F.count_if("test").alias("n_test"))

@@ -132,11 +132,12 @@ def s14(spark, d):
     return tables.keyset_batch(table(spark, d, "pages"), "page_id", 20, 50, "url").select("page_id", "url")
 
 
-@query("s15")
+@query("s15", "SELECT n_regionkey::INT AS folder, sum(strlen(n_name) + 1)::BIGINT AS length, string_agg(upper(n_name) || chr(10), '' ORDER BY n_name) AS content FROM nation GROUP BY 1")
 def s15(spark, d):
     out = fresh(spark, "s15")
-    table(spark, d, "nation").repartition(3).write.json(out)
-    return tables.local_files(spark, out, "*.json").select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    table(spark, d, "nation").select("n_regionkey", "n_name").repartition("n_regionkey").sortWithinPartitions("n_regionkey", "n_name").write.partitionBy("n_regionkey").text(out)
+    files = tables.local_files(spark, out, "*.txt")
+    return files.select(F.regexp_extract("path", "n_regionkey=([0-9]+)", 1).cast("int").alias("folder"), "length", F.upper(F.decode("content", "utf-8")).alias("content"))
 
 
 @query("s16", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) OR doc_id IN (SELECT doc_id FROM labels WHERE quality = 0) ORDER BY doc_id LIMIT 300")

@@ -12,7 +12,7 @@ from siftwise.operators import knn, lopq
 from siftwise.operators import vectors as v
 from siftwise.plans.stages import table
 
-V, M, S, SEED, BITS = 4, 8, 16, 7, 64
+V, M, S, SUB, SEED, BITS = 4, 8, 16, 4, 7, 64
 
 
 def embeddings(spark, d):
@@ -26,6 +26,17 @@ def fixed_coarse(spark, d):
     return lopq.LOPQModel(np.stack([x[:, :32], x[:, 32:]]))
 
 
+def fixed_model(spark, d):
+    """A whole model that SQL can know: frames turn their coordinates by the cluster's number, centres and sub-centroids
+    follow a formula of exact binary fractions. Trained models are tested against numpy and by recall."""
+    model = fixed_coarse(spark, d)
+    j, code, pos = np.indices((M, SUB, 64 // M))
+    model.rs = np.stack([[np.roll(np.eye(32), k, axis=0) for k in range(V)]] * 2)
+    model.mus = np.tile((np.arange(V)[None, :, None] + 1) / 64, (2, 1, 32))
+    model.subs = ((3 * j + 5 * code + 7 * pos) % 11 - 5) / 16
+    return model
+
+
 def trained(spark, d):
     return lopq.train(embeddings(spark, d), "embedding", V, M, S, SEED)
 
@@ -36,6 +47,14 @@ WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
 c AS (SELECT vec_id AS k, x FROM e WHERE vec_id < 4),
 a AS (SELECT e.vec_id, arg_min(c.k, (list_distance(e.x[1:32], c.x[1:32]), c.k))::INT AS c0, arg_min(c.k, (list_distance(e.x[33:64], c.x[33:64]), c.k))::INT AS c1 FROM e, c GROUP BY 1)
 """
+#: The fixed model: local residuals in every cluster (l), squared distances of their parts to the sub-centroids (tab), codes (f).
+FIXED = ASSIGN + """, l AS (SELECT e.vec_id, s, c.k, (i + c.k) % 32 AS n, e.x[s * 32 + i + 1] - c.x[s * 32 + i + 1] - (c.k + 1) / 64 AS y
+  FROM e, c, (SELECT unnest(range(2)) AS s), (SELECT unnest(range(32)) AS i)),
+tab AS (SELECT vec_id, s, k, s * 4 + n // 8 AS j, code, sum((y - ((3 * (s * 4 + n // 8) + 5 * code + 7 * (n % 8)) % 11 - 5) / 16) ** 2) AS err
+  FROM l, (SELECT unnest(range(4)) AS code) GROUP BY 1, 2, 3, 4, 5),
+own AS (SELECT vec_id, 0 AS s, c0 AS k FROM a UNION ALL SELECT vec_id, 1, c1 FROM a),
+f AS (SELECT vec_id, s, k, j, arg_min(code, (err, code)) AS code, min(err) AS err FROM tab JOIN own USING (vec_id, s, k) GROUP BY 1, 2, 3, 4)
+"""
 #: Codes by the fixed projection: bits strictly over 0, packed into two words.
 HASHED = """
 WITH x AS (SELECT vec_id, i - 1 AS i, embedding[i]::DOUBLE AS val FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings)),
@@ -86,16 +105,19 @@ def a19(spark, d):
     return knn.recall_at(found, truth, [1, 10, 100])
 
 
-@query("a20")
+@query("a20", FIXED + "SELECT j::INT AS part, round(avg(err), 6) AS distortion FROM f GROUP BY 1")
 def a20(spark, d):
-    return lopq.distortion(embeddings(spark, d), "vec_id", "embedding", trained(spark, d)).orderBy("part")
+    found = lopq.distortion(embeddings(spark, d), "vec_id", "embedding", fixed_model(spark, d))
+    return found.select("part", F.round("distortion", 6).alias("distortion"))
 
 
-@query("a21")
+@query("a21", ASSIGN + """, near AS (SELECT q.vec_id AS qid, b.vec_id AS id FROM e q, e b WHERE q.vec_id % 20 = 0 AND q.vec_id <> b.vec_id
+  QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY 1 - list_inner_product(q.x, b.x), b.vec_id) = 1)
+SELECT avg((p.c0 = r.c0)::INT) AS first, avg((p.c1 = r.c1)::INT) AS second, avg((p.c0 = r.c0 AND p.c1 = r.c1)::INT) AS "both" FROM near JOIN a p ON p.vec_id = qid JOIN a r ON r.vec_id = id""")
 def a21(spark, d):
-    e, model = embeddings(spark, d), trained(spark, d)
-    near = knn.exact_knn(e, e.where("vec_id % 20 = 0"), 2).where("qid <> id")
-    return lopq.coarse_agreement(near, lopq.encode(e, "vec_id", "embedding", model))
+    e = embeddings(spark, d)
+    near = knn.ranked(knn.exact_knn(e, e.where("vec_id % 20 = 0"), 2).where("qid <> id").drop("rank"), 1)
+    return lopq.coarse_agreement(near, lopq.encode(e, "vec_id", "embedding", fixed_model(spark, d)))
 
 
 V01 = """
@@ -180,9 +202,11 @@ def v09(spark, d):
     return spark.createDataFrame([(i, int(x)) for i, x in enumerate(v.eigenvalue_allocation(2, np.array([1.0, 2.0, 4.0, 8.0])))], "pos int, dim int")
 
 
-@query("v10")
+@query("v10", "SELECT vec_id, j::INT AS pos, round(sum((val - 0.5) * (((73 * i + 151 * j + 17 * i * j) % 257) - 128)), 4) + 0.0 AS value FROM (SELECT vec_id, i - 1 AS i, embedding[i]::DOUBLE AS val FROM (SELECT vec_id, embedding, unnest(range(1, 65)) AS i FROM embeddings)), (SELECT unnest(range(4)) AS j) GROUP BY 1, 2")
 def v10(spark, d):
-    return v.apply_pca(embeddings(spark, d), "vec_id", "embedding", pca(spark, d))
+    """By a mean and axes that SQL can know; fitted ones are tested against numpy."""
+    rows = v.apply_pca(embeddings(spark, d), "vec_id", "embedding", {"mu": np.full(64, 0.5), "P": v.fixed_projection(64, 4)})
+    return rows.select("vec_id", F.posexplode("reduced").alias("pos", "value")).withColumn("value", F.round("value", 4) + 0.0)
 
 
 @query("v11", "SELECT vec_id, round(list_sum(embedding[1:32]::DOUBLE[]), 5) AS first, round(list_sum(embedding[33:64]::DOUBLE[]), 5) AS second FROM embeddings")
@@ -220,10 +244,11 @@ def v15(spark, d):
     return spark.createDataFrame(errors, "half int, k int, orthogonal double")
 
 
-@query("v16")
+@query("v16", FIXED + "SELECT vec_id, (s * 32 + n)::INT AS pos, round(y, 6) + 0.0 AS value FROM l JOIN own USING (vec_id, s, k)")
 def v16(spark, d):
-    model = lopq.train_rotations(embeddings(spark, d), "embedding", fixed_coarse(spark, d))
-    return v.map_vectors(embeddings(spark, d), "vec_id", "embedding", lambda x: model.project(x, model.coarse(x)), "local")
+    model = fixed_model(spark, d)
+    rows = v.map_vectors(embeddings(spark, d), "vec_id", "embedding", lambda x: model.project(x, model.coarse(x)), "local")
+    return rows.select("vec_id", F.posexplode("local").alias("pos", "value")).withColumn("value", F.round("value", 6) + 0.0)
 
 
 @query("v17")
@@ -243,23 +268,29 @@ def v18(spark, d):
     return spark.createDataFrame([(n, list(map(int, a.shape))) for n, a in (("cs", whole.cs), ("rs", whole.rs), ("mus", whole.mus), ("subs", whole.subs))], "name string, shape array<int>")
 
 
+ENCODED = FIXED + "SELECT vec_id AS id, c0, c1, string_agg(code, ',' ORDER BY j) AS fine FROM f JOIN a USING (vec_id) GROUP BY 1, 2, 3"
+
+
 def encoded(spark, d):
-    return lopq.encode(embeddings(spark, d), "vec_id", "embedding", trained(spark, d))
+    codes = lopq.encode(embeddings(spark, d), "vec_id", "embedding", fixed_model(spark, d))
+    return codes.select("id", "c0", "c1", F.array_join(F.transform("fine", lambda x: x.cast("string")), ",").alias("fine"))
 
 
-query("v19")(encoded)
-query("v21")(encoded)
+query("v19", ENCODED)(encoded)
+query("v21", ENCODED)(encoded)
 
 
-@query("v20")
+@query("v20", FIXED + """SELECT vec_id AS id, (s * 32 + i)::INT AS pos, round(((3 * j + 5 * code + 7 * (n % 8)) % 11 - 5) / 16 + (k + 1) / 64 + c.x[s * 32 + i + 1], 6) + 0.0 AS value
+FROM f JOIN c USING (k), (SELECT unnest(range(32)) AS i), (SELECT unnest(range(32)) AS n) WHERE n = (i + k) % 32 AND j = s * 4 + n // 8""")
 def v20(spark, d):
-    model = trained(spark, d)
-    return lopq.decode(lopq.encode(embeddings(spark, d), "vec_id", "embedding", model), model)
+    model = fixed_model(spark, d)
+    rows = lopq.decode(lopq.encode(embeddings(spark, d), "vec_id", "embedding", model), model)
+    return rows.select("id", F.posexplode("vector").alias("pos", "value")).withColumn("value", F.round("value", 6) + 0.0)
 
 
-@query("v22")
+@query("v22", f"SELECT vec_id FROM embeddings WHERE ('0x' || substr(md5('{SEED}:' || vec_id), 1, 8))::BIGINT % 100 < 50")
 def v22(spark, d):
-    sampled = embeddings(spark, d).where(F.pmod(F.xxhash64(F.lit(SEED), "vec_id"), F.lit(100)) < 50)
+    sampled = v.sampled(embeddings(spark, d), "vec_id", 50, SEED)
     return sampled.repartition(s.partition_count(1000, 200)).select("vec_id")
 
 

@@ -41,4 +41,5 @@ def nested_value_sets(df: DataFrame, mapped: str) -> DataFrame:
 
 def stratified_split(df: DataFrame, stratum: str, ident: str, parts: int = 3, test_parts: int = 1) -> DataFrame:
     """df with `test`: about test_parts of parts of each stratum, by a hash of the id, the same on every run."""
-    return df.withColumn("test", F.pmod(F.crc32(F.concat_ws(":", F.col(stratum).cast("string"), F.col(ident).cast("string"))), F.lit(parts)) < test_parts)
+    head = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(stratum).cast("string"), F.col(ident).cast("string"))), 1, 8), 16, 10).cast("long")
+    return df.withColumn("test", head % parts < test_parts)

@@ -97,6 +97,12 @@ def apply_pca(df: DataFrame, key: str, vector: str, pca: dict[str, np.ndarray],
     return map_vectors(df, key, vector, lambda x: (x - mu) @ p, out)
 
 
+def sampled(df: DataFrame, key: str, percent: int, seed: int) -> DataFrame:
+    """About `percent` of a hundred rows, by a hash of the key, the same on every run."""
+    head = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long")
+    return df.where(head % 100 < percent)
+
+
 def fixed_projection(dim: int, bits: int) -> np.ndarray:
     """An integer-valued projection that any engine can compute; it stands in for trained weights."""
     i, j = np.arange(dim)[:, None], np.arange(bits)[None, :]
