@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from siftwise.operators import knn
-from siftwise.operators.vectors import eigenvalue_allocation, lists_of, map_vectors, matrix_of
+from siftwise.operators.vectors import eigenvalue_allocation, lists_of, map_vectors, matrix_of, summed
 from siftwise.plans.stages import save_stage
 
 #: What a tuned search must find of its sample's true neighbours; over 0.9, so that other queries reach that as well.
@@ -114,7 +114,7 @@ def train_coarse(df: DataFrame, vector: str, v: int, seed: int = 1, iterations:
 
 
 def train_rotations(df: DataFrame, vector: str, model: LOPQModel) -> LOPQModel:
-    """Local frames from each cluster's residual mean and covariance, summed per partition and then per cluster."""
+    """Local frames from each cluster's residual mean and covariance, summed per partition and then, row by row, in Spark."""
     v, h = model.v, model.cs.shape[2]
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,19 +128,17 @@ def train_rotations(df: DataFrame, vector: str, model: LOPQModel) -> LOPQModel:
                         r = part[coarse[:, s] == k] - model.cs[s][k]
                         r = np.hstack((r, np.ones((len(r), 1))))
                         sums[s, k] += r.T @ r
-        flat = sums.reshape(2 * v, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * v)), lists_of(flat)], ["cluster", "sums"])
+        at = np.arange(2 * v * (h + 1))
+        yield pa.RecordBatch.from_arrays([pa.array(at // (h + 1)), pa.array(at % (h + 1)), lists_of(sums.reshape(-1, h + 1))], ["cluster", "i", "row"])
 
-    def add(t: pa.Table) -> pa.Table:
-        return pa.table({"cluster": t.column("cluster").slice(0, 1), "sums": lists_of(matrix_of(t.column("sums").combine_chunks()).sum(axis=0, keepdims=True))})
-
-    parts = df.select(vector).mapInArrow(partial, "cluster long, sums array<double>")
-    rows = parts.groupBy("cluster").applyInArrow(add, "cluster long, sums array<double>").collect()
+    parts = df.where(F.col(vector).isNotNull()).select(vector).mapInArrow(partial, "cluster long, i long, row array<double>")
+    totals = np.zeros((2 * v, h + 1, h + 1))
+    for r in summed(parts, ["cluster", "i"], "row").collect():
+        totals[r["cluster"], r["i"]] = r["row"]
     rs, mus = np.tile(np.eye(h), (2, v, 1, 1)), np.zeros((2, v, h))
-    for r in rows:
-        s, k = divmod(r["cluster"], v)
-        total = np.array(r["sums"]).reshape(h + 1, h + 1)
-        n = total[-1, -1]
+    for cluster, total in enumerate(totals):
+        s, k = divmod(cluster, v)
+        n = round(total[-1, -1])
         if n == 0:
             continue
         mus[s, k] = total[-1, :-1] / n

@@ -6,6 +6,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,11 @@ def map_vectors(df: DataFrame, key: str, vector: str, fn: Callable[[np.ndarray],
     return df.where(F.col(vector).isNotNull()).select(key, vector).mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, {out} array<{kind}>")
 
 
+def summed(rows: DataFrame, keys: list[str], vector: str) -> DataFrame:
+    """Sum of the vectors of each key, added up in the JVM before and after the shuffle: no group is held in one piece."""
+    return rows.groupBy(*keys).agg(Summarizer.sum(array_to_vector(vector)).alias("s")).select(*keys, vector_to_array("s").alias(vector))
+
+
 def outer_sums(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]:
     """Count, sum and sum of outer products of all vectors.
 
@@ -51,12 +58,8 @@ def outer_sums(df: DataFrame, vector: str) -> tuple[int, np.ndarray, np.ndarray]
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), lists_of(total)], ["i", "row"])
 
-    def add(table: pa.Table) -> pa.Table:
-        rows = matrix_of(table.column("row").combine_chunks())
-        return pa.table({"i": table.column("i").slice(0, 1), "row": lists_of(rows.sum(axis=0, keepdims=True))})
-
     parts = df.where(F.col(vector).isNotNull()).select(vector).mapInArrow(partial, "i long, row array<double>")
-    rows = parts.groupBy("i").applyInArrow(add, "i long, row array<double>").orderBy("i").toArrow()
+    rows = summed(parts, ["i"], "row").orderBy("i").toArrow()
     if not len(rows):
         raise ValueError("no vectors")
     whole = matrix_of(rows.column("row").combine_chunks())
