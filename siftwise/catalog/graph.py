@@ -44,8 +44,8 @@ def t19(spark, d):
 @query("t20", "SELECT upper(least(a, b) || '-' || greatest(a, b)) AS pair, min(x)::DOUBLE AS dist FROM (SELECT 'k' || (doc_id % 20) AS a, 'k' || (doc_id % 7) AS b, doc_id % 13 AS x FROM documents) WHERE a <> b GROUP BY 1")
 def t20(spark, d):
     k = lambda n: F.concat(F.lit("k"), (F.col("doc_id") % n).cast("string"))
-    rows = table(spark, d, "documents").select(k(20).alias("key"), k(7).alias("other"), (F.col("doc_id") % 13).cast("string").alias("x"))
-    lists = rows.groupBy("key").agg(F.collect_list(F.struct("other", "x")).alias("r")).select("key", F.array_join("r.other", ",").alias("hashes"), F.array_join("r.x", ",").alias("dists"))
+    rows = table(spark, d, "documents").select(k(20).alias("key"), k(7).alias("other"), (F.col("doc_id") % 13).cast("string").alias("x"), F.floor(F.col("doc_id") / 100).alias("part"))
+    lists = rows.groupBy("key", "part").agg(F.collect_list(F.struct("other", "x")).alias("r")).select("key", F.array_join("r.other", ",").alias("hashes"), F.array_join("r.x", ",").alias("dists"))
     return simgraph.canonical_pairs(lists, "key", "hashes", "dists")
 
 

@@ -83,9 +83,8 @@ def p08(spark, d):
 
 @query("p09", "SELECT doc_id, upper(sha1(text)) AS sha1, source AS url FROM documents")
 def p09(spark, d):
-    docs = table(spark, d, "documents")
-    by_url = docs.groupBy("source").agg(F.collect_list(F.struct("doc_id", s.content_hash(F.col("text")).alias("sha1"))).alias("docs"))
-    return by_url.select(F.col("source").alias("url"), F.explode("docs").alias("x")).select("x.doc_id", "x.sha1", "url")
+    by_url = table(spark, d, "documents").select(F.col("source").alias("url"), F.array(F.struct("doc_id", s.content_hash(F.col("text")).alias("sha1"))).alias("docs"))
+    return by_url.select("url", F.explode("docs").alias("x")).select("x.doc_id", "x.sha1", "url")
 
 
 @query("p10", "SELECT upper(sha1(text)) AS sha1, doc_id::VARCHAR AS ids FROM documents WHERE length(doc_id::VARCHAR) > 1")
@@ -123,9 +122,8 @@ def p15(spark, d):
 
 @query("p16", "SELECT conv_id, min_by(role, turn) AS role, min_by(length(text), turn)::INT AS n, count(*) AS turns FROM conversations GROUP BY 1")
 def p16(spark, d):
-    rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", F.length("text").alias("n")))).alias("t"))
-    first = F.get("t", F.lit(0))
-    return rows.select("conv_id", first["role"].alias("role"), first["n"].alias("n"), F.size("t").cast("long").alias("turns"))
+    rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.min(F.struct("turn", "role", F.length("text").alias("n"))).alias("first"), F.count("*").alias("turns"))
+    return rows.select("conv_id", "first.role", "first.n", "turns")
 
 
 PAIR = "SELECT upper(least(a, b) || '-' || greatest(a, b)) AS pair, count(*) AS n FROM (SELECT sha1(text) AS a, sha1(source) AS b FROM documents) GROUP BY 1"
@@ -139,7 +137,8 @@ def p17(spark, d):
 
 @query("p18", "SELECT conv_id, turn::VARCHAR AS turn, role FROM conversations")
 def p18(spark, d):
-    rows = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
+    # lists of eight turns at most, however long a conversation is
+    rows = table(spark, d, "conversations").groupBy("conv_id", F.floor(F.col("turn") / 8)).agg(F.array_sort(F.collect_list(F.struct("turn", "role"))).alias("t"))
     lists = rows.select("conv_id", F.array_join(F.transform("t.turn", lambda x: x.cast("string")), ", ").alias("turns"), F.array_join("t.role", ",").alias("roles"))
     return n.explode_parallel(lists, "conv_id", {"turns": "turn", "roles": "role"})
 
