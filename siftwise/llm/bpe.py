@@ -12,10 +12,12 @@ are no token raise KeyError; invalid UTF-8 after decoding becomes U+FFFD.
 
 from __future__ import annotations
 
+import codecs
 import json
 import math
 from array import array
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import regex
@@ -26,8 +28,15 @@ from siftwise.llm.suffix_automaton import SuffixAutomaton
 PIECES = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
 #: Outside these blocks Unicode versions may class characters otherwise; the library itself splits such texts.
 ELSEWHERE = regex.compile(r"[^\x00-ԯḀ-ỿ‐-⁤₠-₿]")
+#: A space amid white space, or before the end: only there can a piece run over a space or end with one. Marks that some
+#: version of Unicode has as white space are included, and all control characters.
+EDGES = frozenset(c for c in map(chr, range(33, 0x10000)) if c.isspace()) | frozenset(map(chr, range(32))) | frozenset("\u180e\u200b\ufeff")
+AMID = regex.compile("[ {0}] (?:[ {0}]|\\Z)".format("".join(map(regex.escape, sorted(EDGES)))))
+MARKS = ".,;:!?"
 #: Pieces in each of the two generations of a cache, letters of a piece that is kept, pairs of tokens.
 PIECES_KEPT, LETTERS_KEPT, PAIRS_KEPT = 150_000, 64, 300_000
+#: Words in each of the two generations that encode_many keeps; about 200 bytes each.
+WORDS_KEPT = 300_000
 
 
 def byte_letters() -> list[str]:
@@ -197,11 +206,108 @@ class PrefixBPE(_Cached):
 
 
 class LibraryBPE(_Cached):
-    """The tokenizers library's own encoding, each distinct piece passed to it once while cached."""
+    """The tokenizers library's own encoding, each distinct piece passed to it once while cached.
+
+    The library gets the letters of pieces' bytes, as the pieces of one text: its model without its splitter.
+    """
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        from tokenizers import Tokenizer
+
+        self.model = Tokenizer.from_str(json.dumps(self.split.spec | {"pre_tokenizer": None, "post_processor": None, "decoder": None, "added_tokens": [], "truncation": None, "padding": None}))
+        self.letters = "".join(byte_letters())
+        vocab = self.model.get_vocab(with_added_tokens=False)
+        self.lengths = np.zeros(1 + max(vocab.values()), np.int64)
+        self.lengths[list(vocab.values())] = [len(t) for t in vocab]
+        self.marks = dict(zip(MARKS, self._ids([self.letters[ord(m)] for m in MARKS]), strict=True))
+        #: Ids of words, in two generations: the word behind a space, or " " and the word that a text begins with.
+        self.young_words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
+
+    def forget(self) -> None:
+        super().forget()
+        self.young_words, self.old_words = {}, {}
+
+    def _ids(self, mapped: list[str]) -> list[bytes]:
+        """32-bit ids of pieces given as letters."""
+        if not mapped:
+            return []
+        ids = np.array(self.model.encode_batch_fast([mapped], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+        # a byte-level token has as many letters as bytes, so letters tell where a piece's ids end
+        reached, wanted = np.cumsum(self.lengths[ids]), np.cumsum(list(map(len, mapped)))
+        ends = np.searchsorted(reached, wanted) + 1
+        if ends[-1] != len(ids) or (reached[ends - 1] != wanted).any():
+            raise ValueError("the vocabulary lacks a byte")
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        return [raw[x:y] for x, y in zip([0, *ends], ends, strict=False)]
 
     def fresh(self, pieces: list[str]) -> Iterable[bytes]:
-        for e in self.split.library.encode_batch_fast(pieces, add_special_tokens=False):
-            yield array("I", e.ids).tobytes()
+        added = self.split.added
+        made = iter(self._ids([codecs.charmap_decode(p.encode(), "strict", self.letters)[0] for p in pieces if p not in added]))
+        for p in pieces:
+            yield array("I", [added[p]]).tobytes() if p in added else next(made)
+
+    def encode_many(self, texts: list[str | None]) -> list[bytes]:
+        """32-bit ids of each text.
+
+        A piece begins at a space that stands before something else, or ends before one, so texts are cut at spaces and the
+        ids of words kept; where white space meets a space, and in texts with added tokens, encode does the whole.
+        """
+        words = [(" " + (t or "")).split(" ")[1:] for t in texts]
+        for w in words:
+            w[0] = " " + w[0]
+        ids = dict.fromkeys(chain.from_iterable(words))
+        # white space that meets a space leaves such a word behind the space
+        odd = {w for w in ids if not w or w[0] in EDGES}
+        whole = {k for k, t in enumerate(texts) if t and ((odd and not odd.isdisjoint(words[k]) and AMID.search(t)) or any(a in t for a in self.split.added))}
+        if len(self.young_words) >= WORDS_KEPT:
+            self.old_words, self.young_words = self.young_words, {}
+        young, old = self.young_words, self.old_words
+        unknown = []
+        for w in ids:
+            known = young.get(w)
+            if known is None:
+                known = old.get(w)
+                if known is None:
+                    unknown.append(w)
+                    continue
+                young[w] = known
+            ids[w] = known
+        if unknown:
+            ids |= self._learn(unknown)
+        return [self.encode(texts[k]).tobytes() if k in whole else b"".join([ids[x] for x in w]) for k, w in enumerate(words)]
+
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, which young_words gets too. Most are letters and perhaps a mark, which needs no pattern to split."""
+        young, old, made = self.young_words, self.old_words, {}
+        plain = not ELSEWHERE.search("".join(words))
+        letters: dict[str, None] = {}
+        marked, others = [], []
+        for w in words:
+            if plain and w.isalpha():
+                letters[w] = None
+            elif plain and w[-1:] in self.marks and w[:-1].isalpha():
+                marked.append(w)
+                letters[w[:-1]] = None
+            else:
+                others.append(w)
+        new = []
+        for w in letters:
+            known = young.get(w) or old.get(w)
+            if known is None:
+                new.append(w)
+            else:
+                made[w] = known
+        space = self.letters[32]
+        mapped = codecs.charmap_decode(" ".join(new).encode(), "strict", self.letters)[0].split(space) if new else []
+        made.update(zip(new, self._ids([space + m for m in mapped]), strict=True))
+        for w in marked:
+            made[w] = made[w[:-1]] + self.marks[w[-1]]
+        for w in others:
+            made[w] = self.encode(w[1:] if w[:1] == " " else " " + w).tobytes()
+        young.update((w, x) for w, x in made.items() if len(w) <= LETTERS_KEPT)
+        return made
 
 
 _MADE: dict[tuple[type, str], object] = {}

@@ -5,9 +5,10 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from siftwise.llm import idcoder, queries_tokens, token_files
+from siftwise.llm import bpe, idcoder, idcoder_jvm, queries_tokens, token_files
 from siftwise.llm.bpe import LibraryBPE, PrefixBPE
 from siftwise.llm.suffix_automaton import SuffixAutomaton
 
@@ -121,3 +122,55 @@ def test_token_files(spark, tmp_path):
     assert not any(want.values())
     token_files.write_token_files(df.limit(0), str(tmp_path / "none"), PATH)
     assert token_files.read_token_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_words(monkeypatch):
+    """Texts cut at spaces, whatever white space, added tokens and marks stand about them, with caches that overflow."""
+    rng, library = random.Random(5), Tokenizer.from_file(PATH)
+    gaps = [" ", "  ", "   ", "\n", "\t", " \n", "\n ", "\r\n", "\xa0", " ", "\x1c", "\x1f", "\x85", "᠎", "​", "﻿", "　", "\x0b"]
+    bits = ["a", "the", "The", ".", ",", "!!", "'s", "don't", "é", "日本", "1", "2024", "x" * 70, "<|endoftext|>", "<|endof", "_", "\x00", "𝒳", "؀"]
+    mixed = texts() + ["".join(rng.choice(gaps if rng.random() < 0.55 else bits) for _ in range(rng.randint(0, 12))) for _ in range(6000)] + gaps
+    mixed += [f"{'y' * 70} {'y' * 70}. {'y' * 70}", f"{'z' * 70}.", "a word, a word. word"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in mixed]
+    for kept in (bpe.WORDS_KEPT, 5):
+        monkeypatch.setattr(bpe, "WORDS_KEPT", kept)
+        fast = LibraryBPE(PATH)
+        for k in range(0, len(mixed), 50):
+            assert [np.frombuffer(x, "<u4").tolist() for x in fast.encode_many(mixed[k : k + 50])] == want[k : k + 50]
+            # a batch is let in whole, and no more
+            assert max(len(fast.young_words), len(fast.old_words)) < kept + 1000
+    assert fast.encode_many([]) == []
+
+
+def test_jvm_coder(spark):
+    """The JVM writes what numpy writes, reads it back and refuses what is damaged."""
+    assert idcoder_jvm.register(spark)
+    rng = np.random.default_rng(3)
+    streams = [rng.integers(0, 65536, 5000), np.zeros(3000, int), np.array([], int), np.array([50256]), np.full(2048, 65535), np.minimum(rng.zipf(1.3, 20_000), 65535), rng.integers(0, 200_000, 5000), np.array([65535, 65536, (1 << 32) - 1, 0])]
+    streams += [np.where(rng.random(6000) < share, rng.integers(0, 65536, 6000), fill) for share in (0.001, 0.01, 0.1) for fill in (0, np.arange(6000) % 50)]
+    coded = idcoder.encode(streams)
+    df = spark.createDataFrame([(x.astype("<u4").tobytes(), c) for x, c in zip(streams, coded, strict=True)], "raw binary, coded binary")
+    got = df.select(F.call_udf("siftwise_ids_encode", "raw"), "coded", F.call_udf("siftwise_ids_decode", "coded"), "raw").collect()
+    assert len(got) == len(streams) and all(r[0] == r[1] and r[2] == r[3] for r in got)
+    damaged = coded[0][:40] + bytes([coded[0][40] ^ 1]) + coded[0][41:]
+    with pytest.raises(Exception, match="checksum"):
+        spark.createDataFrame([(damaged,)], "coded binary").select(F.call_udf("siftwise_ids_decode", "coded")).collect()
+    segment = "base long, doc_ids array<long>, lengths array<long>, data binary"
+    for lengths in ([1, 2], [1, 4], [5]):
+        with pytest.raises(Exception, match="lengths and ids differ"):
+            spark.createDataFrame([(0, [1, 2][: len(lengths)], lengths, coded[7])], segment).select(F.call_udf("siftwise_ids_documents", "base", "doc_ids", "lengths", "data")).collect()
+
+
+def test_token_files_without_jvm_coder(spark, tmp_path, monkeypatch):
+    """numpy and the JVM read each other's files."""
+    df = spark.createDataFrame(list(enumerate(texts()[:120])), "doc_id long, text string")
+    reach, found = idcoder_jvm.register, []
+    for writes in (True, False):
+        monkeypatch.setattr(idcoder_jvm, "register", reach if writes else lambda _: False)
+        token_files.write_token_files(df, out := str(tmp_path / str(writes)), PATH, partitions=2, per_segment=3000)
+        for reads in (True, False):
+            monkeypatch.setattr(idcoder_jvm, "register", reach if reads else lambda _: False)
+            read = token_files.read_token_files(spark, out)
+            assert ("MapInArrow" in read._jdf.queryExecution().toString()) != reads
+            found.append(sorted(map(tuple, read.collect())))
+    assert len(found[0]) == 120 and all(f == found[0] for f in found)
